@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sluice.functions.text import is_retry_null, is_schema_null, strip
+from sluice.functions.text import is_retry_null, strip
 
 # Accepted spellings.
 NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
@@ -16,29 +16,16 @@ TIMESTAMP = (
 TRUE_TOKENS = ("True", "true", "1")
 FALSE_TOKENS = ("False", "false", "0")
 
-LARGEST_DOUBLE = 1.7976931348623157e308
+# Largest magnitudes the warehouse columns hold: 32-bit integers, decimals with
+# 14 digits before the point, and integers a double holds exactly.
 INT32_LIMIT = 2147483647.0
+DECIMAL_LIMIT = 99999999999999.0
 EXACT_LIMIT = 9007199254740991.0
 
 
 def to_number(c: Column) -> Column:
-    """Finite double, or null."""
-    value = F.when(c.rlike(NUMBER), strip(c).try_cast("double"))
-    return F.when(F.abs(value) <= LARGEST_DOUBLE, value)
-
-
-def to_integer_number(c: Column, wide: bool = False) -> Column:
-    """A number that fits an integer column once rounded, still unrounded; or null.
-
-    Fractions are accepted, as the source format does not tell ``3`` from
-    ``3.0``; they only round when they reach an integer column.
-    """
-    value = to_number(c)
-    return F.when(F.abs(value) <= (EXACT_LIMIT if wide else INT32_LIMIT), value)
-
-
-def to_integer(c: Column, wide: bool = False) -> Column:
-    return F.round(to_integer_number(c, wide)).cast("bigint")
+    """Double, or null.  May be infinite: check :func:`within` before relying on it."""
+    return F.when(c.rlike(NUMBER), strip(c).try_cast("double"))
 
 
 def to_timestamp(c: Column) -> Column:
@@ -50,17 +37,32 @@ def to_boolean(c: Column) -> Column:
     return F.when(c.isin(*TRUE_TOKENS), True).when(c.isin(*FALSE_TOKENS), False)
 
 
-def from_text(c: Column, dtype: str, wide: bool = False) -> Column:
-    """Cast by declared type; texts that stand for null give null."""
+def parse(c: Column, dtype: str) -> Column:
+    """The value a text stands for, by declared type; null if it stands for none.
+
+    Integers come back as unrounded doubles: fractions are accepted, as the
+    source does not tell ``3`` from ``3.0``, and only round when they reach
+    an integer column.
+    """
     if dtype == "str":
         return c
-    value = {
-        "int": lambda: to_integer(c, wide),
-        "float": lambda: to_number(c),
-        "bool": lambda: to_boolean(c),
-        "datetime": lambda: to_timestamp(c),
-    }[dtype]()
-    return F.when(~is_schema_null(c), value)
+    if dtype == "datetime":
+        return to_timestamp(c)
+    if dtype == "bool":
+        return to_boolean(c)
+    return to_number(c)
+
+
+def within(value: Column, dtype: str, wide: bool = False) -> Column:
+    """Whether a parsed number fits the column it is loaded into."""
+    limit = DECIMAL_LIMIT if dtype == "float" else EXACT_LIMIT if wide else INT32_LIMIT
+    return F.abs(value) <= limit
+
+
+def from_text(c: Column, dtype: str) -> Column:
+    """Parse and convert to the column's own type."""
+    value = parse(c, dtype)
+    return F.round(value).try_cast("bigint") if dtype == "int" else value
 
 
 def coerce(c: Column, dtype: str, default: object = None) -> Column:

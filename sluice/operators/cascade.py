@@ -15,8 +15,13 @@ from sluice.operators.records import (
     placeholder_rules,
     range_rules,
 )
-from sluice.operators.schema import first_broken, schema_rules
-from sluice.functions.casts import to_number
+from sluice.operators.schema import (
+    first_broken,
+    schema_rules,
+    value,
+    with_values,
+    without_values,
+)
 from sluice.spec import Entity
 
 #: bookkeeping columns of raw rows: the file and the row's place in the scan
@@ -26,13 +31,13 @@ STAGE, RULE = "reject_stage", "reject_rule"
 
 def tag_schema(df: DataFrame, entity: Entity) -> DataFrame:
     """Schema stage only: ``reject_rule`` is the first broken schema rule."""
-    return df.withColumn(RULE, first_broken(schema_rules(entity)))
+    tagged = with_values(df, entity).withColumn(RULE, first_broken(schema_rules(entity)))
+    return without_values(tagged, entity)
 
 
 def dedup_key(entity: Entity):
     """Rows repeat when their keys are equal after typing: ``7`` and ``7.0`` are one key."""
-    key = F.col(entity.key)
-    return to_number(key) if entity.column(entity.key).dtype in ("int", "float") else key
+    return value(entity.key) if entity.column(entity.key).dtype == "int" else F.col(entity.key)
 
 
 def tag_records(df: DataFrame, entity: Entity, null_mode: str = "any") -> DataFrame:
@@ -47,9 +52,9 @@ def tag_records(df: DataFrame, entity: Entity, null_mode: str = "any") -> DataFr
         first_broken(null_rules(entity, null_mode)),
         first_broken(placeholder_rules(entity)),
     )
-    tagged = df.withColumn("_schema", first_broken(schema_rules(entity))).withColumn(
-        "_before", before
-    )
+    tagged = with_values(df, entity)
+    tagged = tagged.withColumn("_schema", first_broken(schema_rules(entity)))
+    tagged = tagged.withColumn("_before", before)
     tagged = flag_duplicates(
         tagged,
         {"file": F.col(FILE), "key": dedup_key(entity)},
@@ -61,14 +66,11 @@ def tag_records(df: DataFrame, entity: Entity, null_mode: str = "any") -> DataFr
         F.when(F.col(DUPLICATE), F.lit("duplicate")),
         first_broken(format_rules(entity) + range_rules(entity)),
     )
-    return (
-        tagged.withColumn(RULE, rule)
-        .withColumn(
-            STAGE,
-            F.when(F.col("_schema").isNotNull(), "schema").when(F.col(RULE).isNotNull(), "records"),
-        )
-        .drop("_schema", "_before", DUPLICATE)
+    tagged = tagged.withColumn(RULE, rule).withColumn(
+        STAGE,
+        F.when(F.col("_schema").isNotNull(), "schema").when(F.col(RULE).isNotNull(), "records"),
     )
+    return without_values(tagged.drop("_schema", "_before", DUPLICATE), entity)
 
 
 def tag(
@@ -105,7 +107,8 @@ def rejected_rows(tagged: DataFrame) -> DataFrame:
 
 def null_profile(df: DataFrame, entity: Entity, null_mode: str = "any") -> DataFrame:
     """Per column under the null rule: how many rows past the schema stage lack it."""
-    passed = tag_schema(df, entity).where(F.col(RULE).isNull())
+    tagged = with_values(df, entity).withColumn(RULE, first_broken(schema_rules(entity)))
+    passed = tagged.where(F.col(RULE).isNull())
     rules = null_rules(entity, null_mode)
     counts = passed.agg(
         *[F.count_if(broken).alias(label.split(":", 1)[1]) for label, broken in rules]

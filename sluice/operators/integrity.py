@@ -81,12 +81,12 @@ def raw_key(entity: Entity, name: str) -> tuple[Column, Column, bool]:
     A fraction in an integer column can match no parent, so its key is null
     although the key is set.
     """
-    column = entity.column(name)
     raw = F.col(name)
-    if column.dtype in ("int", "float"):
-        number = F.when(~is_schema_null(raw), to_number(raw))
-        whole = F.when(number == F.round(number), number.try_cast("bigint"))
-        return whole, number.isNotNull(), False
+    if entity.column(name).dtype in ("int", "float"):
+        number = to_number(raw)
+        # comparing with the cast keeps fractions out and out-of-range numbers null
+        whole = number.try_cast("bigint")
+        return F.when(whole == number, whole), ~is_schema_null(raw), False
     return normal_id(F.when(~is_schema_null(raw), raw)), ~is_schema_null(raw), True
 
 

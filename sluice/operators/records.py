@@ -1,7 +1,8 @@
 """Records stage: null, placeholder, format and range rules.
 
-Each function returns ``(label, broken)`` pairs over the raw text columns,
-so a row is tagged with its first broken rule in one projection.
+Each function returns ``(label, broken)`` pairs over the raw text columns and
+their parsed values, so a row is tagged with its first broken rule in one
+projection.
 """
 
 from __future__ import annotations
@@ -9,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sluice.functions.casts import from_text, to_integer, to_number, to_timestamp
-from sluice.functions.text import is_placeholder, is_schema_null
+from sluice.functions.text import is_placeholder
+from sluice.operators.schema import value
 from sluice.spec import BATCH, Entity
 
 Rules = list[tuple[str, Column]]
@@ -56,16 +57,9 @@ def null_columns(entity: Entity, mode: str = "any") -> list[str]:
     ]
 
 
-def is_null_cell(entity: Entity, name: str) -> Column:
-    c = entity.column(name)
-    return from_text(F.col(name), c.dtype, c.wide).isNull()
-
-
 def null_rules(entity: Entity, mode: str = "any") -> Rules:
-    """Expects rows past the schema stage, where every non-null text parses."""
-    return [
-        (f"null:{name}", is_schema_null(F.col(name))) for name in null_columns(entity, mode)
-    ]
+    """Expects rows past the schema stage, where only a missing value parses to null."""
+    return [(f"null:{name}", value(name).isNull()) for name in null_columns(entity, mode)]
 
 
 def placeholder_rules(entity: Entity) -> Rules:
@@ -82,7 +76,7 @@ def _matches(name: str, pattern: str) -> Column:
 
 def format_rules(entity: Entity) -> Rules:
     rules = [
-        (f"date_format:{name}", to_timestamp(F.col(name)).isNull())
+        (f"date_format:{name}", value(name).isNull())
         for name in DATE_COLUMNS[entity.kind]
         if name in entity.names
     ]
@@ -90,7 +84,7 @@ def format_rules(entity: Entity) -> Rules:
         rules += [(f"email_format:{n}", ~_matches(n, EMAIL)) for n in entity.names if "email" in n]
         rules += [(f"phone_format:{n}", ~_matches(n, PHONE)) for n in entity.names if "phone" in n]
         if "national_id" in entity.names:
-            digits = to_integer(F.col("national_id"), wide=True).cast("string")
+            digits = F.round(value("national_id")).try_cast("bigint").cast("string")
             rules.append(
                 (
                     "national_id_length",
@@ -104,11 +98,10 @@ def range_rules(entity: Entity) -> Rules:
     rules = []
     for name in NON_NEGATIVE[entity.kind]:
         if name in entity.names:
-            value = to_number(F.col(name))
-            rules.append((f"negative:{name}", value.isNull() | (value < 0)))
+            rules.append((f"negative:{name}", value(name).isNull() | (value(name) < 0)))
     if entity.kind == BATCH:
         rules += [
-            (f"too_large:{name}", F.coalesce(to_number(F.col(name)) > limit, F.lit(False)))
+            (f"too_large:{name}", F.coalesce(value(name) > limit, F.lit(False)))
             for name, limit in UPPER_BOUNDS.items()
             if name in entity.names
         ]

@@ -7,14 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.casts import (
-    FALSE_TOKENS,
-    TRUE_TOKENS,
-    from_text,
-    to_integer_number,
-    to_number,
-    to_timestamp,
-)
+from sluice.functions.casts import from_text, parse, within
 from sluice.functions.text import is_schema_null
 from sluice.spec import Entity
 
@@ -29,23 +22,36 @@ def columns_match(names: Iterable[str], entity: Entity) -> bool:
     return column_difference(names, entity) == ([], [])
 
 
-def _parses(column) -> Column:
-    c = F.col(column.name)
-    if column.dtype == "int":
-        return to_integer_number(c, column.wide).isNotNull()
-    if column.dtype == "float":
-        return to_number(c).isNotNull()
-    if column.dtype == "datetime":
-        return to_timestamp(c).isNotNull()
-    return c.isin(*TRUE_TOKENS, *FALSE_TOKENS)
+def value(name: str) -> Column:
+    """The parsed value of a raw column, added by :func:`with_values`."""
+    return F.col(f"_v_{name}")
+
+
+def with_values(df: DataFrame, entity: Entity) -> DataFrame:
+    """Parse every non-text column once, for all the rules to look at."""
+    return df.withColumns(
+        {
+            f"_v_{c.name}": parse(F.col(c.name), c.dtype)
+            for c in entity.columns
+            if c.dtype != "str"
+        }
+    )
+
+
+def without_values(df: DataFrame, entity: Entity) -> DataFrame:
+    return df.drop(*[f"_v_{n}" for n in entity.names])
 
 
 def dtype_rules(entity: Entity) -> list[tuple[str, Column]]:
-    return [
-        (f"dtype:{c.name}", ~is_schema_null(F.col(c.name)) & ~_parses(c))
-        for c in entity.columns
-        if c.dtype != "str"
-    ]
+    rules = []
+    for c in entity.columns:
+        if c.dtype == "str":
+            continue
+        good = value(c.name).isNotNull()
+        if c.dtype in ("int", "float"):
+            good &= within(value(c.name), c.dtype, c.wide)
+        rules.append((f"dtype:{c.name}", ~is_schema_null(F.col(c.name)) & ~good))
+    return rules
 
 
 def required_rules(entity: Entity) -> list[tuple[str, Column]]:
@@ -60,7 +66,7 @@ def categorical_rules(entity: Entity) -> list[tuple[str, Column]]:
 
 
 def schema_rules(entity: Entity) -> list[tuple[str, Column]]:
-    """(label, broken) pairs in the order in which they are applied."""
+    """(label, broken) pairs in the order of use; expects :func:`with_values` columns."""
     return dtype_rules(entity) + required_rules(entity) + categorical_rules(entity)
 
 
@@ -74,6 +80,6 @@ def first_broken(rules: list[tuple[str, Column]]) -> Column:
 def typed(df: DataFrame, entity: Entity, *keep: str) -> DataFrame:
     """Cast raw text columns to the declared types, carrying the ``keep`` columns along."""
     return df.select(
-        *[from_text(F.col(c.name), c.dtype, c.wide).alias(c.name) for c in entity.columns],
+        *[from_text(F.col(c.name), c.dtype).alias(c.name) for c in entity.columns],
         *keep,
     )

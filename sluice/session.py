@@ -14,6 +14,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("sluice")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -61,4 +62,4 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Whether the optimizer's size estimate lets it broadcast ``df``."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= int(size.toString()) <= limit
+    return 0 <= int(str(size)) <= limit
