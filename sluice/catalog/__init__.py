@@ -6,7 +6,7 @@ from importlib import import_module
 
 from sluice.catalog.registry import ORACLE, QUERIES, Query
 
-MODULES = ("validation",)
+MODULES = ("validation", "star")
 
 
 def _load() -> None:
