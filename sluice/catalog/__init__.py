@@ -6,7 +6,7 @@ from importlib import import_module
 
 from sluice.catalog.registry import ORACLE, QUERIES, Query
 
-MODULES = ("validation", "star")
+MODULES = ("validation", "star", "operations", "jobs")
 
 
 def _load() -> None:

@@ -1,11 +1,12 @@
-"""Guarded casts from text: a value that does not parse becomes null, never an error."""
+"""Guarded casts from text: a value that does not parse becomes null, never an error.
 
-from __future__ import annotations
+The functions take and give SQL expression text, so the many rules of an
+entity reach Spark as one expression each.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
-from sluice.functions.text import is_retry_null, strip
+from sluice.functions.text import RETRY_NULLS, one_of, stripped
 
 # Accepted spellings.
 NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
@@ -18,26 +19,29 @@ FALSE_TOKENS = ("False", "false", "0")
 
 # Largest magnitudes the warehouse columns hold: 32-bit integers, decimals with
 # 14 digits before the point, and integers a double holds exactly.
-INT32_LIMIT = 2147483647.0
-DECIMAL_LIMIT = 99999999999999.0
-EXACT_LIMIT = 9007199254740991.0
+INT32_LIMIT = 2147483647
+DECIMAL_LIMIT = 99999999999999
+EXACT_LIMIT = 9007199254740991
 
 
-def to_number(c: Column) -> Column:
+def to_number(c: str) -> str:
     """Double, or null.  May be infinite: check :func:`within` before relying on it."""
-    return F.when(c.rlike(NUMBER), strip(c).try_cast("double"))
+    return f"CASE WHEN {c} RLIKE r'{NUMBER}' THEN try_cast({stripped(c)} AS DOUBLE) END"
 
 
-def to_timestamp(c: Column) -> Column:
+def to_timestamp(c: str) -> str:
     """Wall-clock timestamp from an ISO date or date-time; or null."""
-    return F.when(c.rlike(TIMESTAMP), c.try_cast("timestamp_ntz"))
+    return f"CASE WHEN {c} RLIKE r'{TIMESTAMP}' THEN try_cast({c} AS TIMESTAMP_NTZ) END"
 
 
-def to_boolean(c: Column) -> Column:
-    return F.when(c.isin(*TRUE_TOKENS), True).when(c.isin(*FALSE_TOKENS), False)
+def to_boolean(c: str) -> str:
+    return (
+        f"CASE WHEN {c} IN {one_of(TRUE_TOKENS)} THEN true "
+        f"WHEN {c} IN {one_of(FALSE_TOKENS)} THEN false END"
+    )
 
 
-def parse(c: Column, dtype: str) -> Column:
+def parse(c: str, dtype: str) -> str:
     """The value a text stands for, by declared type; null if it stands for none.
 
     Integers come back as unrounded doubles: fractions are accepted, as the
@@ -53,19 +57,19 @@ def parse(c: Column, dtype: str) -> Column:
     return to_number(c)
 
 
-def within(value: Column, dtype: str, wide: bool = False) -> Column:
+def within(value: str, dtype: str, wide: bool = False) -> str:
     """Whether a parsed number fits the column it is loaded into."""
     limit = DECIMAL_LIMIT if dtype == "float" else EXACT_LIMIT if wide else INT32_LIMIT
-    return F.abs(value) <= limit
+    return f"abs({value}) <= {limit}"
 
 
-def from_text(c: Column, dtype: str) -> Column:
+def from_text(c: str, dtype: str) -> str:
     """Parse and convert to the column's own type."""
     value = parse(c, dtype)
-    return F.round(value).try_cast("bigint") if dtype == "int" else value
+    return f"try_cast(round({value}) AS BIGINT)" if dtype == "int" else value
 
 
-def coerce(c: Column, dtype: str, default: object = None) -> Column:
+def coerce(c: str, dtype: str) -> str:
     """Safe cast of a value taken back out of quarantined JSON."""
-    value = F.when(~is_retry_null(c), from_text(strip(c), dtype))
-    return value if default is None else F.coalesce(value, F.lit(default))
+    known = f"coalesce(lower({stripped(c)}) NOT IN {one_of(RETRY_NULLS)}, false)"
+    return f"CASE WHEN {known} THEN {from_text(stripped(c), dtype)} END"

@@ -25,13 +25,23 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def is_schema_null(c: Column) -> Column:
+def one_of(values: tuple[str, ...]) -> str:
+    """Texts as a SQL list."""
+    return "(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in values) + ")"
+
+
+def stripped(c: str) -> str:
+    """SQL text of :func:`strip`."""
+    return f"btrim({c}, ' \\t\\n\\u000b\\u000c\\r')"
+
+
+def is_schema_null(c: str) -> str:
     """Null, or a text that stands for null in an untyped file (case matters)."""
-    return c.isNull() | c.isin(*SCHEMA_NULLS)
+    return f"({c} IS NULL OR {c} IN {one_of(SCHEMA_NULLS)})"
 
 
-def is_placeholder(c: Column) -> Column:
-    return F.coalesce(F.lower(strip(c)).isin(*PLACEHOLDERS), F.lit(True))
+def is_placeholder(c: str) -> str:
+    return f"coalesce(lower({stripped(c)}) IN {one_of(PLACEHOLDERS)}, true)"
 
 
 def is_retry_null(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.dedup import DUPLICATE, flag_duplicates
@@ -31,13 +31,19 @@ STAGE, RULE = "reject_stage", "reject_rule"
 
 def tag_schema(df: DataFrame, entity: Entity) -> DataFrame:
     """Schema stage only: ``reject_rule`` is the first broken schema rule."""
-    tagged = with_values(df, entity).withColumn(RULE, first_broken(schema_rules(entity)))
-    return without_values(tagged, entity)
+    return without_values(_schema_tagged(df, entity, RULE), entity)
 
 
-def dedup_key(entity: Entity):
+def _schema_tagged(df: DataFrame, entity: Entity, into: str) -> DataFrame:
+    return with_values(df, entity).selectExpr(
+        "*", f"{first_broken(schema_rules(entity))} AS {into}"
+    )
+
+
+def dedup_key(entity: Entity) -> Column:
     """Rows repeat when their keys are equal after typing: ``7`` and ``7.0`` are one key."""
-    return value(entity.key) if entity.column(entity.key).dtype == "int" else F.col(entity.key)
+    is_number = entity.column(entity.key).dtype == "int"
+    return F.col(value(entity.key) if is_number else entity.key)
 
 
 def tag_records(df: DataFrame, entity: Entity, null_mode: str = "any") -> DataFrame:
@@ -47,30 +53,27 @@ def tag_records(df: DataFrame, entity: Entity, null_mode: str = "any") -> DataFr
     placeholder rules and before the format and range rules: a first row
     that fails its format still makes the next copy a duplicate.
     """
-    before = F.coalesce(
-        F.col("_schema"),
-        first_broken(null_rules(entity, null_mode)),
-        first_broken(placeholder_rules(entity)),
+    early = null_rules(entity, null_mode) + placeholder_rules(entity)
+    tagged = _schema_tagged(df, entity, "_schema").selectExpr(
+        "*", f"coalesce(_schema, {first_broken(early)}) AS _before"
     )
-    tagged = with_values(df, entity)
-    tagged = tagged.withColumn("_schema", first_broken(schema_rules(entity)))
-    tagged = tagged.withColumn("_before", before)
     tagged = flag_duplicates(
         tagged,
         {"file": F.col(FILE), "key": dedup_key(entity)},
         F.col(ROW),
         among=F.col("_before").isNull(),
     )
-    rule = F.coalesce(
-        F.col("_before"),
-        F.when(F.col(DUPLICATE), F.lit("duplicate")),
-        first_broken(format_rules(entity) + range_rules(entity)),
-    )
-    tagged = tagged.withColumn(RULE, rule).withColumn(
-        STAGE,
-        F.when(F.col("_schema").isNotNull(), "schema").when(F.col(RULE).isNotNull(), "records"),
+    late = [("duplicate", DUPLICATE)] + format_rules(entity) + range_rules(entity)
+    return tagged.selectExpr(
+        *df.columns,
+        f"coalesce(_before, {first_broken(late)}) AS {RULE}",
+        "_schema",
+    ).selectExpr(
+        *df.columns,
+        RULE,
+        f"CASE WHEN _schema IS NOT NULL THEN 'schema' WHEN {RULE} IS NOT NULL THEN 'records' END "
+        f"AS {STAGE}",
     )
-    return without_values(tagged.drop("_schema", "_before", DUPLICATE), entity)
 
 
 def tag(
@@ -87,13 +90,11 @@ def tag(
     if not entity.foreign_keys:
         return tagged
     tagged = flag_raw_orphans(tagged, entity, parents or {}, "_orphan_fk")
-    orphan = F.col(STAGE).isNull() & F.col("_orphan_fk").isNotNull()
-    return (
-        tagged.withColumn(
-            RULE, F.when(orphan, F.concat(F.lit("fk:"), F.col("_orphan_fk"))).otherwise(F.col(RULE))
-        )
-        .withColumn(STAGE, F.when(orphan, F.lit("orphan")).otherwise(F.col(STAGE)))
-        .drop("_orphan_fk")
+    orphan = f"{STAGE} IS NULL AND _orphan_fk IS NOT NULL"
+    return tagged.selectExpr(
+        *df.columns,
+        f"CASE WHEN {orphan} THEN 'fk:' || _orphan_fk ELSE {RULE} END AS {RULE}",
+        f"CASE WHEN {orphan} THEN 'orphan' ELSE {STAGE} END AS {STAGE}",
     )
 
 
@@ -107,10 +108,11 @@ def rejected_rows(tagged: DataFrame) -> DataFrame:
 
 def null_profile(df: DataFrame, entity: Entity, null_mode: str = "any") -> DataFrame:
     """Per column under the null rule: how many rows past the schema stage lack it."""
-    tagged = with_values(df, entity).withColumn(RULE, first_broken(schema_rules(entity)))
-    passed = tagged.where(F.col(RULE).isNull())
-    rules = null_rules(entity, null_mode)
+    passed = _schema_tagged(df, entity, RULE).where(F.col(RULE).isNull())
     counts = passed.agg(
-        *[F.count_if(broken).alias(label.split(":", 1)[1]) for label, broken in rules]
+        *[
+            F.expr(f"count_if({broken})").alias(label.split(":", 1)[1])
+            for label, broken in null_rules(entity, null_mode)
+        ]
     )
     return counts.unpivot([], counts.columns, "column_name", "null_rows")

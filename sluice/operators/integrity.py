@@ -81,13 +81,13 @@ def raw_key(entity: Entity, name: str) -> tuple[Column, Column, bool]:
     A fraction in an integer column can match no parent, so its key is null
     although the key is set.
     """
-    raw = F.col(name)
+    is_set = F.expr(f"NOT {is_schema_null(name)}")
     if entity.column(name).dtype in ("int", "float"):
-        number = to_number(raw)
+        number = F.expr(to_number(name))
         # comparing with the cast keeps fractions out and out-of-range numbers null
         whole = number.try_cast("bigint")
-        return F.when(whole == number, whole), ~is_schema_null(raw), False
-    return normal_id(F.when(~is_schema_null(raw), raw)), ~is_schema_null(raw), True
+        return F.when(whole == number, whole), is_set, False
+    return normal_id(F.when(is_set, F.col(name))), is_set, True
 
 
 def flag_raw_orphans(

@@ -1,21 +1,16 @@
 """Records stage: null, placeholder, format and range rules.
 
-Each function returns ``(label, broken)`` pairs over the raw text columns and
-their parsed values, so a row is tagged with its first broken rule in one
+Each function returns (label, SQL predicate) pairs over the raw text columns
+and their parsed values, so a row is tagged with its first broken rule in one
 projection.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from sluice.functions.text import is_placeholder
-from sluice.operators.schema import value
+from sluice.operators.schema import Rules, value
 from sluice.spec import BATCH, Entity
 
-Rules = list[tuple[str, Column]]
-
 # Which columns the rules look at, by name.
 DATE_COLUMNS = {
     "batch": ("created_at", "updated_at", "signup_date", "hire_date"),
@@ -59,49 +54,47 @@ def null_columns(entity: Entity, mode: str = "any") -> list[str]:
 
 def null_rules(entity: Entity, mode: str = "any") -> Rules:
     """Expects rows past the schema stage, where only a missing value parses to null."""
-    return [(f"null:{name}", value(name).isNull()) for name in null_columns(entity, mode)]
+    return [(f"null:{name}", f"{value(name)} IS NULL") for name in null_columns(entity, mode)]
 
 
 def placeholder_rules(entity: Entity) -> Rules:
     return [
-        (f"placeholder:{c.name}", is_placeholder(F.col(c.name)))
+        (f"placeholder:{c.name}", is_placeholder(c.name))
         for c in entity.required
         if c.dtype == "str"
     ]
 
 
-def _matches(name: str, pattern: str) -> Column:
-    return F.coalesce(F.col(name).rlike(pattern), F.lit(False))
+def _differs(name: str, pattern: str) -> str:
+    return f"NOT coalesce({name} RLIKE r'{pattern}', false)"
 
 
 def format_rules(entity: Entity) -> Rules:
     rules = [
-        (f"date_format:{name}", value(name).isNull())
+        (f"date_format:{name}", f"{value(name)} IS NULL")
         for name in DATE_COLUMNS[entity.kind]
         if name in entity.names
     ]
     if entity.kind == BATCH:
-        rules += [(f"email_format:{n}", ~_matches(n, EMAIL)) for n in entity.names if "email" in n]
-        rules += [(f"phone_format:{n}", ~_matches(n, PHONE)) for n in entity.names if "phone" in n]
+        rules += [(f"email_format:{n}", _differs(n, EMAIL)) for n in entity.names if "email" in n]
+        rules += [(f"phone_format:{n}", _differs(n, PHONE)) for n in entity.names if "phone" in n]
         if "national_id" in entity.names:
-            digits = F.round(value("national_id")).try_cast("bigint").cast("string")
+            digits = f"CAST(try_cast(round({value('national_id')}) AS BIGINT) AS STRING)"
             rules.append(
-                (
-                    "national_id_length",
-                    F.coalesce(F.length(digits) != NATIONAL_ID_LENGTH, F.lit(True)),
-                )
+                ("national_id_length", f"coalesce(length({digits}) <> {NATIONAL_ID_LENGTH}, true)")
             )
     return rules
 
 
 def range_rules(entity: Entity) -> Rules:
-    rules = []
-    for name in NON_NEGATIVE[entity.kind]:
-        if name in entity.names:
-            rules.append((f"negative:{name}", value(name).isNull() | (value(name) < 0)))
+    rules = [
+        (f"negative:{name}", f"({value(name)} IS NULL OR {value(name)} < 0)")
+        for name in NON_NEGATIVE[entity.kind]
+        if name in entity.names
+    ]
     if entity.kind == BATCH:
         rules += [
-            (f"too_large:{name}", F.coalesce(value(name) > limit, F.lit(False)))
+            (f"too_large:{name}", f"{value(name)} > {limit}")
             for name, limit in UPPER_BOUNDS.items()
             if name in entity.names
         ]

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from sluice.functions.casts import from_text, parse, within
-from sluice.functions.text import is_schema_null
+from sluice.functions.text import is_schema_null, one_of
 from sluice.spec import Entity
 
 
@@ -22,64 +21,71 @@ def columns_match(names: Iterable[str], entity: Entity) -> bool:
     return column_difference(names, entity) == ([], [])
 
 
-def value(name: str) -> Column:
+#: (label, SQL predicate that holds on rows breaking the rule)
+Rules = list[tuple[str, str]]
+
+
+def value(name: str) -> str:
     """The parsed value of a raw column, added by :func:`with_values`."""
-    return F.col(f"_v_{name}")
+    return f"_v_{name}"
 
 
 def with_values(df: DataFrame, entity: Entity) -> DataFrame:
     """Parse every non-text column once, for all the rules to look at."""
-    return df.withColumns(
-        {
-            f"_v_{c.name}": parse(F.col(c.name), c.dtype)
+    return df.selectExpr(
+        "*",
+        *[
+            f"{parse(c.name, c.dtype)} AS {value(c.name)}"
             for c in entity.columns
             if c.dtype != "str"
-        }
+        ],
     )
 
 
 def without_values(df: DataFrame, entity: Entity) -> DataFrame:
-    return df.drop(*[f"_v_{n}" for n in entity.names])
+    return df.drop(*[value(n) for n in entity.names])
 
 
-def dtype_rules(entity: Entity) -> list[tuple[str, Column]]:
+def dtype_rules(entity: Entity) -> Rules:
     rules = []
     for c in entity.columns:
         if c.dtype == "str":
             continue
-        good = value(c.name).isNotNull()
+        good = f"{value(c.name)} IS NOT NULL"
         if c.dtype in ("int", "float"):
-            good &= within(value(c.name), c.dtype, c.wide)
-        rules.append((f"dtype:{c.name}", ~is_schema_null(F.col(c.name)) & ~good))
+            good += f" AND {within(value(c.name), c.dtype, c.wide)}"
+        rules.append((f"dtype:{c.name}", f"NOT {is_schema_null(c.name)} AND NOT ({good})"))
     return rules
 
 
-def required_rules(entity: Entity) -> list[tuple[str, Column]]:
-    return [(f"required:{c.name}", is_schema_null(F.col(c.name))) for c in entity.required]
+def required_rules(entity: Entity) -> Rules:
+    return [(f"required:{c.name}", is_schema_null(c.name)) for c in entity.required]
 
 
-def categorical_rules(entity: Entity) -> list[tuple[str, Column]]:
+def categorical_rules(entity: Entity) -> Rules:
     return [
-        (f"categorical:{c.name}", ~is_schema_null(F.col(c.name)) & ~F.col(c.name).isin(*c.allowed))
+        (
+            f"categorical:{c.name}",
+            f"NOT {is_schema_null(c.name)} AND {c.name} NOT IN {one_of(c.allowed)}",
+        )
         for c in entity.categorical
     ]
 
 
-def schema_rules(entity: Entity) -> list[tuple[str, Column]]:
-    """(label, broken) pairs in the order of use; expects :func:`with_values` columns."""
+def schema_rules(entity: Entity) -> Rules:
+    """Rules in the order of use; they expect the columns of :func:`with_values`."""
     return dtype_rules(entity) + required_rules(entity) + categorical_rules(entity)
 
 
-def first_broken(rules: list[tuple[str, Column]]) -> Column:
-    """Label of the first broken rule, null if none is."""
+def first_broken(rules: Rules) -> str:
+    """SQL text giving the label of the first broken rule, null if none is."""
     if not rules:
-        return F.lit(None).cast("string")
-    return F.coalesce(*[F.when(broken, F.lit(label)) for label, broken in rules])
+        return "CAST(NULL AS STRING)"
+    return "CASE " + " ".join(f"WHEN {broken} THEN '{label}'" for label, broken in rules) + " END"
 
 
 def typed(df: DataFrame, entity: Entity, *keep: str) -> DataFrame:
     """Cast raw text columns to the declared types, carrying the ``keep`` columns along."""
-    return df.select(
-        *[from_text(F.col(c.name), c.dtype).alias(c.name) for c in entity.columns],
-        *keep,
+    return df.selectExpr(
+        *[f"{from_text(c.name, c.dtype)} AS {c.name}" for c in entity.columns], *keep
     )

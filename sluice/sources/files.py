@@ -139,9 +139,9 @@ PATH_SCHEMA = T.StructType(
 
 
 def arriving_files(
-    spark: SparkSession, folder: str, entity: Entity, files_per_batch: int = 100
+    spark: SparkSession, folder: str, pattern: str, files_per_batch: int = 100
 ) -> DataFrame:
-    """Stream of the paths of an entity's files as they arrive anywhere below ``folder``.
+    """Stream of the paths of matching files as they arrive anywhere below ``folder``.
 
     Contents are not read here: the column is pruned from the scan.
     """
@@ -149,7 +149,7 @@ def arriving_files(
         spark.readStream.format("binaryFile")
         .schema(PATH_SCHEMA)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", entity.file)
+        .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
         .select("path")

@@ -85,8 +85,23 @@ TABLES: dict[str, str] = {
 }
 
 
+_TYPES: dict[str, T.DataType] = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "smallint": T.ShortType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(18,2)": T.DecimalType(18, 2),
+    "decimal(18,4)": T.DecimalType(18, 4),
+}
+
+
 def table_schema(name: str) -> T.StructType:
-    return T.StructType.fromDDL(TABLES[name])
+    """Declared columns of a table; needs no session."""
+    columns = re.findall(r"(\w+) ([a-z_]+(?:\(\d+,\d+\))?)", TABLES[name])
+    return T.StructType([T.StructField(c, _TYPES[t]) for c, t in columns])
 
 
 class Warehouse:
