@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.cascade import FILE, ROW
+from sluice.session import spread
 from sluice.spec import ENTITIES, Entity
 
 
@@ -51,7 +52,7 @@ class Fixture:
         return ENTITIES[self.entity]
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = table(spark, sf_dir, self.source)
+        base = spread(table(spark, sf_dir, self.source))
         if self.join:
             base = base.join(table(spark, sf_dir, self.join[0]), F.expr(self.join[1]))
         cells = [f"{e} AS {n}" for n, e in self.columns.items()] + [f"{self.file} AS {FILE}"]

@@ -42,6 +42,7 @@ from sluice.plans.retry import (
     promoted_by_fk,
     true_orphans,
 )
+from sluice.session import stage
 from sluice.spec import ENTITIES
 
 # ------------------------------------------------------------- quarantine
@@ -190,7 +191,7 @@ decided AS (SELECT *,
 
 def _open_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantined orders; those of March were tried often, those of July are done."""
-    rows = quarantine_of(spark, sf_dir, "orders")
+    rows = stage(quarantine_of(spark, sf_dir, "orders"), "quarantine")
     at = F.lit(RETRY_AT).cast("timestamp_ntz").alias("acted_at")
     tried = (
         rows.where("source_file LIKE '%-03/%'")

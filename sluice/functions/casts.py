@@ -6,7 +6,7 @@ entity reach Spark as one expression each.
 
 from __future__ import annotations
 
-from sluice.functions.text import RETRY_NULLS, one_of, stripped
+from sluice.functions.text import RETRY_NULLS, SCHEMA_NULLS, one_of, stripped
 
 # Accepted spellings.
 NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
@@ -25,10 +25,22 @@ EXACT_LIMIT = 9007199254740991
 
 
 def to_number(c: str) -> str:
-    """Double, or null.  May be infinite: check :func:`within` before relying on it."""
+    """Double, or null if the text is no number."""
     return f"CASE WHEN {c} RLIKE r'{NUMBER}' THEN try_cast({stripped(c)} AS DOUBLE) END"
 
 
+def number_or_nan(c: str) -> str:
+    """Double; null for a text that stands for null, NaN for one that is no number.
+
+    NaN compares greater than every limit, so one comparison finds both the
+    unreadable and the too large.
+    """
+    return (
+        f"CASE WHEN {c} RLIKE r'{NUMBER}' THEN try_cast({stripped(c)} AS DOUBLE) "
+        f"WHEN {c} NOT IN {one_of(SCHEMA_NULLS)} THEN double('NaN') END"
+    )
+
+
 def to_timestamp(c: str) -> str:
     """Wall-clock timestamp from an ISO date or date-time; or null."""
     return f"CASE WHEN {c} RLIKE r'{TIMESTAMP}' THEN try_cast({c} AS TIMESTAMP_NTZ) END"
@@ -57,10 +69,9 @@ def parse(c: str, dtype: str) -> str:
     return to_number(c)
 
 
-def within(value: str, dtype: str, wide: bool = False) -> str:
-    """Whether a parsed number fits the column it is loaded into."""
-    limit = DECIMAL_LIMIT if dtype == "float" else EXACT_LIMIT if wide else INT32_LIMIT
-    return f"abs({value}) <= {limit}"
+def number_limit(dtype: str, wide: bool = False) -> int:
+    """Largest magnitude that fits the column a number is loaded into."""
+    return DECIMAL_LIMIT if dtype == "float" else EXACT_LIMIT if wide else INT32_LIMIT
 
 
 def from_text(c: str, dtype: str) -> str:

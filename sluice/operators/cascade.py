@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.dedup import DUPLICATE, flag_duplicates
+from sluice.functions.casts import to_number
+from sluice.operators.dedup import repeated_keys, rows_of_keys, with_first
 from sluice.operators.integrity import flag_raw_orphans
 from sluice.operators.records import (
     format_rules,
@@ -18,10 +19,10 @@ from sluice.operators.records import (
 from sluice.operators.schema import (
     first_broken,
     schema_rules,
-    value,
     with_values,
     without_values,
 )
+from sluice.session import stage
 from sluice.spec import Entity
 
 #: bookkeeping columns of raw rows: the file and the row's place in the scan
@@ -40,40 +41,36 @@ def _schema_tagged(df: DataFrame, entity: Entity, into: str) -> DataFrame:
     )
 
 
-def dedup_key(entity: Entity) -> Column:
-    """Rows repeat when their keys are equal after typing: ``7`` and ``7.0`` are one key."""
+def dedup_keys(entity: Entity) -> dict[str, Column]:
+    """Rows of a file repeat when their keys are equal after typing: ``7`` and ``7.0``."""
     is_number = entity.column(entity.key).dtype == "int"
-    return F.col(value(entity.key) if is_number else entity.key)
+    key = F.expr(to_number(entity.key)) if is_number else F.col(entity.key)
+    return {"file": F.col(FILE), "key": key}
 
 
-def tag_records(df: DataFrame, entity: Entity, null_mode: str = "any") -> DataFrame:
-    """Schema and records stages, with ``reject_stage`` and ``reject_rule``.
+def _early_tagged(df: DataFrame, entity: Entity, null_mode: str) -> DataFrame:
+    """``_schema`` and ``_before``: first broken rule up to the duplicate check."""
+    early = null_rules(entity, null_mode) + placeholder_rules(entity)
+    return _schema_tagged(df, entity, "_schema").selectExpr(
+        "*", f"coalesce(_schema, {first_broken(early)}) AS _before"
+    )
+
+
+def with_first_rows(
+    df: DataFrame, raw: DataFrame, entity: Entity, null_mode: str = "any"
+) -> DataFrame:
+    """Add to ``df`` the place ``_first`` of the first row of each repeated key of ``raw``.
 
     Duplicates are looked for among rows that pass the schema, null and
     placeholder rules and before the format and range rules: a first row
-    that fails its format still makes the next copy a duplicate.
+    that fails its format still makes the next copy a duplicate.  Those
+    early rules are evaluated on rows of repeated keys only.
     """
-    early = null_rules(entity, null_mode) + placeholder_rules(entity)
-    tagged = _schema_tagged(df, entity, "_schema").selectExpr(
-        "*", f"coalesce(_schema, {first_broken(early)}) AS _before"
-    )
-    tagged = flag_duplicates(
-        tagged,
-        {"file": F.col(FILE), "key": dedup_key(entity)},
-        F.col(ROW),
-        among=F.col("_before").isNull(),
-    )
-    late = [("duplicate", DUPLICATE)] + format_rules(entity) + range_rules(entity)
-    return tagged.selectExpr(
-        *df.columns,
-        f"coalesce(_before, {first_broken(late)}) AS {RULE}",
-        "_schema",
-    ).selectExpr(
-        *df.columns,
-        RULE,
-        f"CASE WHEN _schema IS NOT NULL THEN 'schema' WHEN {RULE} IS NOT NULL THEN 'records' END "
-        f"AS {STAGE}",
-    )
+    keys, order = dedup_keys(entity), F.col(ROW)
+    candidates = stage(repeated_keys(raw, keys, order), "repeated")
+    survivors = _early_tagged(rows_of_keys(raw, keys, candidates), entity, null_mode)
+    firsts = repeated_keys(survivors.where("_before IS NULL"), keys, order)
+    return with_first(df, keys, stage(firsts, "repeated"))
 
 
 def tag(
@@ -82,19 +79,32 @@ def tag(
     parents: Mapping[str, DataFrame] | None = None,
     null_mode: str = "any",
 ) -> DataFrame:
-    """All stages.  Rows with a null ``reject_stage`` are clean.
+    """Tag every row with ``reject_stage`` and ``reject_rule``; clean rows have nulls.
 
     ``df`` holds the entity's raw text columns plus ``_file`` and ``_row``.
+    What needs other rows, the parents of foreign keys and the first rows of
+    repeated keys, is joined to the raw rows; all rules then are one chain
+    of projections on top.
     """
-    tagged = tag_records(df, entity, null_mode)
-    if not entity.foreign_keys:
-        return tagged
-    tagged = flag_raw_orphans(tagged, entity, parents or {}, "_orphan_fk")
-    orphan = f"{STAGE} IS NULL AND _orphan_fk IS NOT NULL"
-    return tagged.selectExpr(
-        *df.columns,
-        f"CASE WHEN {orphan} THEN 'fk:' || _orphan_fk ELSE {RULE} END AS {RULE}",
-        f"CASE WHEN {orphan} THEN 'orphan' ELSE {STAGE} END AS {STAGE}",
+    joined = df
+    if entity.foreign_keys:
+        joined = flag_raw_orphans(joined, entity, parents or {}, "_orphan_fk")
+    else:
+        joined = joined.withColumn("_orphan_fk", F.lit(None).cast("string"))
+    joined = with_first_rows(joined, df, entity, null_mode)
+    late = [("duplicate", f"{ROW} > _first")] + format_rules(entity) + range_rules(entity)
+    return (
+        _early_tagged(joined, entity, null_mode)
+        .selectExpr(
+            *df.columns, "_schema", "_orphan_fk",
+            f"coalesce(_before, {first_broken(late)}) AS _rule",
+        )
+        .selectExpr(
+            *df.columns,
+            f"coalesce(_rule, 'fk:' || _orphan_fk) AS {RULE}",
+            "CASE WHEN _schema IS NOT NULL THEN 'schema' WHEN _rule IS NOT NULL THEN 'records' "
+            f"WHEN _orphan_fk IS NOT NULL THEN 'orphan' END AS {STAGE}",
+        )
     )
 
 

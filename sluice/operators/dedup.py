@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.session import stage
+from sluice.session import fits_broadcast, stage
 
 DUPLICATE = "_duplicate"
 
@@ -23,34 +23,43 @@ DUPLICATE = "_duplicate"
 def repeated_keys(df: DataFrame, keys: dict[str, Column], order: Column) -> DataFrame:
     """Keys with more than one row, with the order value of their first row."""
     return (
-        df.select(*[c.alias(f"_k_{n}") for n, c in keys.items()], order.alias("_o"))
-        .groupBy(*[f"_k_{n}" for n in keys])
+        df.select(*[c.alias(_key(n)) for n, c in keys.items()], order.alias("_o"))
+        .groupBy(*map(_key, keys))
         .agg(F.min("_o").alias("_first"), F.count("*").alias("_n"))
         .where("_n > 1")
         .drop("_n")
     )
 
 
-def flag_duplicates(
-    df: DataFrame,
-    keys: dict[str, Column],
-    order: Column,
-    among: Column | None = None,
-) -> DataFrame:
+def _key(name: str) -> str:
+    return f"_k_{name}"
+
+
+def _same(keys: dict[str, Column]) -> Column:
+    return reduce(Column.__and__, [c == F.col(_key(n)) for n, c in keys.items()])
+
+
+def rows_of_keys(df: DataFrame, keys: dict[str, Column], repeated: DataFrame) -> DataFrame:
+    """Rows whose key is among the staged ``repeated`` ones; all rows if those are too many
+    to broadcast, as then nothing is saved by leaving rows out."""
+    return df.join(repeated, _same(keys), "left_semi") if fits_broadcast(repeated) else df
+
+
+def with_first(df: DataFrame, keys: dict[str, Column], repeated: DataFrame) -> DataFrame:
+    """Add ``_first``, the order value of the key's first row, where the key is repeated."""
+    return df.join(repeated, _same(keys), "left").drop(*map(_key, keys))
+
+
+def flag_duplicates(df: DataFrame, keys: dict[str, Column], order: Column) -> DataFrame:
     """Add a boolean that is true on all but the first row of each key.
 
-    ``order`` must be unique within a key.  With ``among`` only rows that
-    satisfy it take part.
+    ``order`` must be unique within a key.
     """
-    taking_part = F.lit(True) if among is None else among
-    repeated = stage(repeated_keys(df.where(taking_part), keys, order), "repeated")
-    same_key = reduce(
-        Column.__and__, [c == F.col(f"_k_{n}") for n, c in keys.items()], taking_part
-    )
+    repeated = stage(repeated_keys(df, keys, order), "repeated")
     return (
-        df.join(repeated, same_key, "left")
+        with_first(df, keys, repeated)
         .withColumn(DUPLICATE, F.coalesce(order > F.col("_first"), F.lit(False)))
-        .drop("_first", *[f"_k_{n}" for n in keys])
+        .drop("_first")
     )
 
 

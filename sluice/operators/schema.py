@@ -6,9 +6,16 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-from sluice.functions.casts import from_text, parse, within
-from sluice.functions.text import is_schema_null, one_of
-from sluice.spec import Entity
+from sluice.functions.casts import (
+    FALSE_TOKENS,
+    TRUE_TOKENS,
+    from_text,
+    number_limit,
+    number_or_nan,
+    parse,
+)
+from sluice.functions.text import SCHEMA_NULLS, is_schema_null, one_of
+from sluice.spec import Column, Entity
 
 
 def column_difference(names: Iterable[str], entity: Entity) -> tuple[list[str], list[str]]:
@@ -30,12 +37,17 @@ def value(name: str) -> str:
     return f"_v_{name}"
 
 
+def _value_of(column: Column) -> str:
+    is_number = column.dtype in ("int", "float")
+    return number_or_nan(column.name) if is_number else parse(column.name, column.dtype)
+
+
 def with_values(df: DataFrame, entity: Entity) -> DataFrame:
     """Parse every non-text column once, for all the rules to look at."""
     return df.selectExpr(
         "*",
         *[
-            f"{parse(c.name, c.dtype)} AS {value(c.name)}"
+            f"{_value_of(c)} AS {value(c.name)}"
             for c in entity.columns
             if c.dtype != "str"
         ],
@@ -47,26 +59,37 @@ def without_values(df: DataFrame, entity: Entity) -> DataFrame:
 
 
 def dtype_rules(entity: Entity) -> Rules:
+    """Texts that neither parse nor stand for null; a null text satisfies no predicate here."""
     rules = []
     for c in entity.columns:
-        if c.dtype == "str":
-            continue
-        good = f"{value(c.name)} IS NOT NULL"
         if c.dtype in ("int", "float"):
-            good += f" AND {within(value(c.name), c.dtype, c.wide)}"
-        rules.append((f"dtype:{c.name}", f"NOT {is_schema_null(c.name)} AND NOT ({good})"))
+            broken = f"abs({value(c.name)}) > {number_limit(c.dtype, c.wide)}"
+        elif c.dtype == "datetime":
+            broken = f"{value(c.name)} IS NULL AND {c.name} NOT IN {one_of(SCHEMA_NULLS)}"
+        elif c.dtype == "bool":
+            broken = f"{c.name} NOT IN {one_of(TRUE_TOKENS + FALSE_TOKENS + SCHEMA_NULLS)}"
+        else:
+            continue
+        rules.append((f"dtype:{c.name}", broken))
     return rules
 
 
 def required_rules(entity: Entity) -> Rules:
-    return [(f"required:{c.name}", is_schema_null(c.name)) for c in entity.required]
+    """Used after the type rules, when a number is null only if its text stands for null."""
+    return [
+        (
+            f"required:{c.name}",
+            f"{value(c.name)} IS NULL" if c.dtype in ("int", "float") else is_schema_null(c.name),
+        )
+        for c in entity.required
+    ]
 
 
 def categorical_rules(entity: Entity) -> Rules:
     return [
         (
             f"categorical:{c.name}",
-            f"NOT {is_schema_null(c.name)} AND {c.name} NOT IN {one_of(c.allowed)}",
+            f"{c.name} NOT IN {one_of(c.allowed + SCHEMA_NULLS)}",
         )
         for c in entity.categorical
     ]

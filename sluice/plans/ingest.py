@@ -27,7 +27,7 @@ from sluice.operators.quarantine import as_json, quarantine_id, quarantine_rows
 from sluice.operators.schema import column_difference, typed
 from sluice.plans.dims import LOOKUP_TABLE, build_dimension
 from sluice.plans.facts import build_fact
-from sluice.session import stage
+from sluice.session import spread, stage
 from sluice.sources.files import (
     batch_plan,
     file_format,
@@ -167,7 +167,8 @@ def ingest(
     logs, ledger_events, quarantined = [], [], []
     at = moment(as_of)
     if good:
-        raw = stage(_read_all(spark, good, entity), "raw")
+        # numbered in file order before they are shared out
+        raw = stage(spread(_read_all(spark, good, entity)), "raw")
         tagged = stage(tag(raw, entity, parents_of(entity, warehouse), null_mode), "tagged")
         quarantined.append(quarantine_rows(rejected_rows(tagged), entity, at))
 

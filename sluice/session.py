@@ -8,20 +8,30 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Settings that suit the plans of this package on any cluster.  The rules of
+#: an entity make wide projections: past 8000 bytes of bytecode the JVM does not
+#: compile a method, and Spark's own limit should then fall back to split code.
+RECOMMENDED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("sluice")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .getOrCreate()
     )
+    for key, value in RECOMMENDED.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -58,6 +68,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Share out a scan that has fewer splits than there are cores.
+
+    One large file that cannot be split would otherwise keep a single task
+    busy with all the work up to the next shuffle.  Scans of many splits are
+    left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the optimizer's size estimate lets it broadcast ``df``."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
