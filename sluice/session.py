@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,9 +46,12 @@ def scratch_dir(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="sluice-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return _local_scratch()
+
+
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="sluice-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -71,7 +71,8 @@ def _columns_of(text: Column, fmt: Column) -> Column:
         F.array(F.from_json(text, "map<string,string>")),
     )
     names = F.flatten(F.transform(F.filter(objects, lambda o: o.isNotNull()), F.map_keys))
-    return F.when(fmt == "csv", in_csv).otherwise(F.array_distinct(names))
+    found = F.when(fmt == "csv", in_csv).otherwise(F.array_distinct(names))
+    return F.when(text.isNotNull(), found)
 
 
 INVENTORY = "path string, file_path string, file_hash string, file_name string, columns array<string>"
