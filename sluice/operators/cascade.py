@@ -68,8 +68,8 @@ def with_first_rows(
     """
     keys, order = dedup_keys(entity), F.col(ROW)
     candidates = stage(repeated_keys(raw, keys, order), "repeated")
-    survivors = _early_tagged(rows_of_keys(raw, keys, candidates), entity, null_mode)
-    firsts = repeated_keys(survivors.where("_before IS NULL"), keys, order)
+    some = _early_tagged(rows_of_keys(raw, keys, candidates), entity, null_mode)
+    firsts = repeated_keys(some, keys, order, among=F.col("_before").isNull())
     return with_first(df, keys, stage(firsts, "repeated"))
 
 

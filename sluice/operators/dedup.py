@@ -20,12 +20,20 @@ from sluice.session import fits_broadcast, stage
 DUPLICATE = "_duplicate"
 
 
-def repeated_keys(df: DataFrame, keys: dict[str, Column], order: Column) -> DataFrame:
-    """Keys with more than one row, with the order value of their first row."""
+def repeated_keys(
+    df: DataFrame, keys: dict[str, Column], order: Column, among: Column | None = None
+) -> DataFrame:
+    """Keys with more than one row, with the order value of their first row.
+
+    ``among`` restricts the rows that count.  It blanks the order value and
+    is no filter, which would be moved below the joins of ``df`` and there
+    be evaluated on rows the joins drop.
+    """
+    place = order if among is None else F.when(among, order)
     return (
-        df.select(*[c.alias(_key(n)) for n, c in keys.items()], order.alias("_o"))
+        df.select(*[c.alias(_key(n)) for n, c in keys.items()], place.alias("_o"))
         .groupBy(*map(_key, keys))
-        .agg(F.min("_o").alias("_first"), F.count("*").alias("_n"))
+        .agg(F.min("_o").alias("_first"), F.count("_o").alias("_n"))
         .where("_n > 1")
         .drop("_n")
     )
