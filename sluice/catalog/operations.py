@@ -28,6 +28,7 @@ from sluice.plans.analytics import (
     duplicate_metrics,
     failed_files,
     orphans_to_promote,
+    quarantine_listing,
     recent_quarantine,
 )
 from sluice.plans.facts import fact_order
@@ -144,6 +145,14 @@ def alerts_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "quarantine_listing",
+    _ALL_Q + "SELECT * FROM q WHERE source_table = 'fact_order'",
+)
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quarantine_listing(quarantine_of(spark, sf_dir, "customers", "orders"), "fact_order")
+
+
 RECENT = datetime(1998, 1, 1)
 RECENT_HOURS = 24 * 180
 

@@ -15,13 +15,14 @@ def absent_rows(
     """Rows of ``new`` whose key ``existing`` lacks; of equal new keys the first by ``order``.
 
     The existing table is reduced to the keys the new rows carry before it
-    meets them.  That set is no larger than the batch, so a small batch is
-    broadcast against a scan of the key column and the table is not shuffled.
+    meets them.  Those keys are staged, so that their size is known: a batch
+    of few keys is broadcast against a scan of the key column and the table
+    is not shuffled, a larger one is joined by a shuffle.
     """
     if order is not None:
         new = flag_duplicates(new, {key: F.col(key)}, F.col(order)).where(~F.col(DUPLICATE))
         new = new.drop(DUPLICATE)
-    wanted = new.select(key).distinct()
+    wanted = stage(new.select(key).distinct(), "wanted_keys")
     known = stage(existing.select(key).join(wanted, key, "left_semi").distinct(), "known_keys")
     return new.join(known, key, "left_anti")
 

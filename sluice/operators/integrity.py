@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from sluice.functions.casts import to_number
 from sluice.functions.text import is_schema_null, normal_id
 from sluice.session import fits_broadcast, stage
-from sluice.spec import ENTITIES, Entity, ForeignKey
+from sluice.spec import ENTITIES, Entity
 
 
 def _is_integral(df: DataFrame, name: str) -> bool:
@@ -110,16 +110,13 @@ def flag_raw_orphans(
     )
 
 
-def edge_report(child: DataFrame, label: str, edge: ForeignKey, parent: DataFrame) -> DataFrame:
-    """One row: how many rows of a child set a key and how many do not resolve."""
-    parent_key = ENTITIES[edge.entity].key
-    return count_edge(child, label, edge.column, parent, edge.entity, parent_key)
-
-
 def count_edge(
     child: DataFrame, child_name: str, fk: str, parent: DataFrame, parent_name: str, parent_key: str
 ) -> DataFrame:
-    """Per-edge counts from per-key counts, so a hot key is one row before the join."""
+    """One row: how many rows of a child set a key and how many do not resolve.
+
+    Counted from rows per key, so a hot key is one row before the join.
+    """
     as_text = not (_is_integral(child, fk) and _is_integral(parent, parent_key))
     key = normal_id(F.col(fk)) if as_text else F.col(fk).cast("bigint")
     per_key = child.select(key.alias("_fk")).groupBy("_fk").agg(F.count("*").alias("_n"))

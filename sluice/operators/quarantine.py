@@ -65,16 +65,15 @@ def from_raw(quarantine: DataFrame, entity: Entity) -> DataFrame:
     )
 
 
-def write_backup(rows: DataFrame, path: str, kind: str) -> None:
-    """Spreadsheet copy of quarantine rows, one folder per kind and day."""
+def write_backup(rows: DataFrame, path: str, kind: str, batch_id: str) -> None:
+    """Spreadsheet copy of a load's quarantine rows, by kind and day; a replay replaces it."""
     (
-        rows.withColumn("kind", F.lit(kind))
-        .withColumn("date", F.to_date("quarantined_at"))
-        .write.partitionBy("kind", "date")
-        .mode("append")
+        rows.withColumn("date", F.to_date("quarantined_at"))
+        .write.partitionBy("date")
+        .mode("overwrite")
         .option("header", True)
         .option("escape", '"')
-        .csv(path)
+        .csv(f"{path}/kind={kind}/load={batch_id}")
     )
 
 

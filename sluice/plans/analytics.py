@@ -142,6 +142,12 @@ def duplicate_metrics(
     )
 
 
+def quarantine_listing(quarantine: DataFrame, table: str | None = None) -> DataFrame:
+    """Quarantine rows of all tables or one, oldest first."""
+    rows = quarantine if table is None else quarantine.where(F.col("source_table") == table)
+    return rows.orderBy("quarantined_at", "quarantine_id")
+
+
 def recent_quarantine(
     quarantine: DataFrame, as_of: datetime | None = None, hours: int = 24
 ) -> DataFrame:
@@ -166,8 +172,3 @@ def orphans_to_promote(
         "raw_data",
         F.col("quarantined_at").alias("first_seen_at"),
     )
-
-
-def seed_summary(results: DataFrame) -> DataFrame:
-    """Files by outcome."""
-    return results.groupBy("outcome").agg(F.count("*").alias("files"))

@@ -23,7 +23,12 @@ from sluice.operators.cascade import (
 )
 from sluice.operators.insert import absent_rows
 from sluice.operators.ledger import files_to_process
-from sluice.operators.quarantine import as_json, quarantine_id, quarantine_rows
+from sluice.operators.quarantine import (
+    as_json,
+    quarantine_id,
+    quarantine_rows,
+    write_backup,
+)
 from sluice.operators.schema import column_difference, typed
 from sluice.plans.dims import LOOKUP_TABLE, build_dimension
 from sluice.plans.facts import build_fact
@@ -132,12 +137,14 @@ def ingest(
     batch_id: str,
     as_of: datetime,
     null_mode: str = "any",
+    backup: str | None = None,
 ) -> Outcome:
     """Load files of one entity: validate, quarantine, hash, insert if absent, record.
 
     Files whose path and content were loaded before are skipped.  A file
     whose columns are not the declared ones is quarantined whole.  Running
-    the same batch id again gives the same tables.
+    the same batch id again gives the same tables.  With ``backup`` a CSV
+    copy of the quarantined rows is left below that folder.
     """
     entity = ENTITIES[entity_name]
     result = Outcome(entity_name)
@@ -206,6 +213,10 @@ def ingest(
 
     if logs:
         warehouse.write_load("quarantine", _union(quarantined), batch_id)
+        if backup is not None:
+            write_backup(
+                warehouse.read_load("quarantine", batch_id), backup, entity.kind, batch_id
+            )
         warehouse.write_load("pipeline_file_log", _union(logs), batch_id)
         # last: a load that stops before this is done again and replaces itself
         warehouse.write_load("processed_files", _union(ledger_events), batch_id)

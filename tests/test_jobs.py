@@ -5,13 +5,14 @@ from datetime import datetime, timedelta
 import pytest
 from helpers import row
 
-from sluice.operators.quarantine import volume_alerts, write_backup
+from sluice.operators.quarantine import volume_alerts
 from sluice.plans.ingest import ingest, seed
+from sluice.plans.integrity import star_report
 from sluice.plans.retry import retry
 from sluice.sources.files import batch_plan, inventory, read_text_table
 from sluice.sources.warehouse import Warehouse
 from sluice.spec import ENTITIES
-from sluice.streaming.files import refresh_sla_view, stream_ingest
+from sluice.streaming.files import keep_sla_view_fresh, stream_ingest
 
 DAY = datetime(2024, 1, 3)
 
@@ -204,12 +205,34 @@ def test_stream_gives_what_batch_gives(spark, with_parents, tmp_path):
     assert run() == ["a", "b", "c", "d"]
     assert w.read("processed_files").where("status = 'success'").count() == 3
 
-    refresh_sla_view(spark, w)
-    assert spark.table("v_ticket_sla_performance").count() == 0
-    log = w.read("quarantine")
-    assert volume_alerts(log, limit=0).count() == 2
-    write_backup(log, str(tmp_path / "backup"), "stream")
-    assert spark.read.option("header", True).csv(str(tmp_path / "backup")).count() == log.count()
+    assert volume_alerts(w.read("quarantine"), limit=0).count() == 2
+
+
+def test_sla_view_follows_the_tickets(spark, with_parents, tmp_path):
+    w = with_parents
+    refresh = keep_sla_view_fresh(spark, w, str(tmp_path / "check"), every="1 second")
+    try:
+        path = write_json(tmp_path / "orders.json", orders("o1"))
+        ingest(spark, "orders", [path], w, "o", DAY)
+        path = write_csv(tmp_path / "tickets.csv", [
+            row("tickets"), row("tickets", ticket_id="t2", agent_id="9"),
+        ])
+        backup = str(tmp_path / "backup")
+        for _ in range(2):
+            ingest(spark, "tickets", [path], w, "t", DAY, backup=backup)
+        refresh.processAllAvailable()
+    finally:
+        refresh.stop()
+    view = spark.table("v_ticket_sla_performance").collect()
+    assert [(r["ticket_id"], r["is_first_response_met"], r["is_resolution_met"]) for r in view] == [
+        ("t1", True, False)
+    ]
+    assert spark.read.option("header", True).csv(backup).count() == 1
+    report = {(r["child"], r["fk_column"]): r for r in star_report(w).collect()}
+    assert len(report) == 28
+    assert report["fact_ticket", "agent_id"]["orphan_rows"] == 0
+    assert report["fact_ticket", "reason_id"]["orphan_rows"] == 1
+    assert report["fact_ticket", "date_key"]["keyed_rows"] == 1
 
 
 def test_csv_cells_stay_text(spark, tmp_path):
