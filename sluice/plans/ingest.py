@@ -32,7 +32,7 @@ from sluice.operators.quarantine import (
 from sluice.operators.schema import column_difference, typed
 from sluice.plans.dims import LOOKUP_TABLE, build_dimension
 from sluice.plans.facts import build_fact
-from sluice.session import spread, stage
+from sluice.session import spread, stage, temporary_stages
 from sluice.sources.files import (
     batch_plan,
     file_format,
@@ -146,8 +146,23 @@ def ingest(
     the same batch id again gives the same tables.  With ``backup`` a CSV
     copy of the quarantined rows is left below that folder.
     """
-    entity = ENTITIES[entity_name]
-    result = Outcome(entity_name)
+    with temporary_stages(spark):
+        return _ingest(
+            spark, ENTITIES[entity_name], paths, warehouse, batch_id, as_of, null_mode, backup
+        )
+
+
+def _ingest(
+    spark: SparkSession,
+    entity: Entity,
+    paths: Sequence[str],
+    warehouse: Warehouse,
+    batch_id: str,
+    as_of: datetime,
+    null_mode: str,
+    backup: str | None,
+) -> Outcome:
+    result = Outcome(entity.name)
     found = stage(inventory(spark, paths), "inventory")
     ledger = warehouse.read("processed_files", but_batch=batch_id)
     pending = stage(files_to_process(found, ledger), "pending")

@@ -19,7 +19,7 @@ from sluice.operators.integrity import flag_raw_orphans
 from sluice.operators.quarantine import from_raw
 from sluice.operators.schema import typed
 from sluice.plans.ingest import build_rows, moment, parents_of
-from sluice.session import stage
+from sluice.session import stage, temporary_stages
 from sluice.sources.warehouse import Warehouse
 from sluice.spec import ENTITIES, STREAM, Entity, load_order
 
@@ -147,6 +147,22 @@ def retry(
     start.  With ``dry_run`` nothing is written and only the retryable rows
     are counted.
     """
+    with temporary_stages(spark):
+        return _retry(
+            warehouse, batch_id, as_of, table, dry_run, orphan_hours, max_retries, snapshot
+        )
+
+
+def _retry(
+    warehouse: Warehouse,
+    batch_id: str,
+    as_of: datetime,
+    table: str | None,
+    dry_run: bool,
+    orphan_hours: int,
+    max_retries: int,
+    snapshot: bool,
+) -> dict[str, int]:
     totals = {"retried": 0, "promoted": 0, "deleted": 0, "skipped": 0}
     is_open = open_quarantine(
         warehouse.read("quarantine"), warehouse.read("quarantine_action", but_batch=batch_id)

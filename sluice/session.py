@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 from uuid import uuid4
 
@@ -68,10 +71,34 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    mine = _staged.get()
+    if mine is not None:
+        mine.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, the tables staged inside the block.
+
+    For jobs that write all their results before they return.  A query that
+    returns a lazy frame must keep its staged tables.
+    """
+    token = _staged.set([])
+    try:
+        yield
+    finally:
+        files = spark._jvm.org.apache.hadoop.fs
+        for path in _staged.get() or ():
+            folder = files.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _staged.reset(token)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Share out a scan that has fewer splits than there are cores.
 

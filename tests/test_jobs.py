@@ -1,6 +1,7 @@
 import csv
 import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from helpers import row
@@ -9,6 +10,7 @@ from sluice.operators.quarantine import volume_alerts
 from sluice.plans.ingest import ingest, seed
 from sluice.plans.integrity import star_report
 from sluice.plans.retry import retry
+from sluice.session import scratch_dir
 from sluice.sources.files import batch_plan, inventory, read_text_table
 from sluice.sources.warehouse import Warehouse
 from sluice.spec import ENTITIES
@@ -115,9 +117,12 @@ def test_order_load_is_replay_safe_and_first_write_wins(spark, with_parents, tmp
         row("orders", order_id="open", delivered_at=None),
     ]
     path = write_json(tmp_path / "2024-01-03" / "09" / "orders.json", rows)
+    staged = Path(scratch_dir(spark)) / "sluice"
+    before = set(staged.iterdir()) if staged.exists() else set()
     for _ in range(2):
         out = ingest(spark, "orders", [path], w, "h9", DAY)
         assert out.inserted == 2
+    assert set(staged.iterdir()) <= before
     facts = {r["order_id"]: r for r in w.read("fact_order").collect()}
     assert set(facts) == {"a", "b"} and str(facts["a"]["total_amount"]) == "11.50"
     assert (facts["a"]["date_key"], facts["a"]["time_key"]) == (20240102, 907)
