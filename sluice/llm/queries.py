@@ -122,7 +122,7 @@ WITH d AS (
 ), m AS (
   SELECT doc_id, source, list_sum(list_transform(us, lambda x: len(list_filter(c, lambda y: y <= x)))) AS copies FROM u
 )
-SELECT doc_id, source, unnest(range(1, copies + 1))::INT AS copy FROM m WHERE copies > 0
+SELECT doc_id, source, unnest(range(1, copies::BIGINT + 1))::INT AS copy FROM m WHERE copies > 0
 """
 
 
