@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ WINDOW = 20
 #: cells of the sketch for each window, its rows, most bits of its map, bits of a segment
 CELLS, ROWS, MAX_BITS, SEGMENT = 4, 2, 1 << 30, 22
 #: windows that a task compares with each other before it hands them on
-CHUNK = 2_000_000
+CHUNK = 4_000_000
 NULL_ID = -(1 << 63)
 #: fixed values: odd bases of the two rolling hashes, and multipliers that mix their bits
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -94,17 +95,16 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple]:
-    """(doc_id, crc of the text, hashes) of every text that has a window."""
+    """(doc_id, crc, hashes) of every text that has a window."""
     for batch in slices(batches, "text"):
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            data = text.encode()
-            h, g = window_hashes(data.split(), window)
+        for doc, crc, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "crc", "text"))):
+            h, g = window_hashes(text.encode().split(), window)
             if len(h):
-                yield doc, zlib.crc32(data), h, g
+                yield doc, crc, h, g
 
 
-def repeat_map(slim: DataFrame, window: int = WINDOW, cells: int = CELLS, max_bits: int = MAX_BITS) -> tuple[list[bytes], int]:
-    """A bit for every cell of the merged count-min sketch that was hit twice or more.
+def repeat_map(slim: DataFrame, window: int = WINDOW, cells: int = CELLS, max_bits: int = MAX_BITS) -> tuple[list[list[bytes]], int]:
+    """A bit for every cell of the merged count-min sketch that was hit twice or more, compressed.
 
     Tasks fill sketches of their windows and hand them on in segments, as gaps
     between the cells that were hit once and more often; a task for each
@@ -148,7 +148,7 @@ def repeat_map(slim: DataFrame, window: int = WINDOW, cells: int = CELLS, max_bi
         now, counts = None, np.zeros(1 << low, dtype=np.uint8)
 
         def close() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(counts > 1, bitorder="little").tobytes()], pa.binary())], ["segment", "map"])
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([zlib.compress(np.packbits(counts > 1, bitorder="little").tobytes(), 1)], pa.binary())], ["segment", "map"])
 
         for batch in batches:
             for segment, once, often in zip(*(batch.column(c).to_pylist() for c in ("segment", "once", "often"))):
@@ -163,14 +163,25 @@ def repeat_map(slim: DataFrame, window: int = WINDOW, cells: int = CELLS, max_bi
         if now is not None:
             yield close()
 
-    sketches = slim.select("doc_id", "text").mapInArrow(fill, "segment int, once binary, often binary")
+    sketches = slim.select("doc_id", "crc", "text").mapInArrow(fill, "segment int, once binary, often binary")
     by = sketches.repartition(min(ROWS * n_segments, 4 * slim.sparkSession.sparkContext.defaultParallelism), "segment").sortWithinPartitions("segment")
-    empty = bytes((1 << low) // 8)
+    empty = zlib.compress(bytes((1 << low) // 8), 1)
     maps = [empty] * (ROWS * n_segments)
     for row in by.mapInArrow(add, "segment int, map binary").toLocalIterator():  # max_bits in all
         maps[row["segment"]] = bytes(row["map"])
-    joined = [b"".join(maps[r * n_segments : (r + 1) * n_segments]) for r in range(ROWS)]
-    return joined, bits
+    return [maps[r * n_segments : (r + 1) * n_segments] for r in range(ROWS)], bits
+
+
+_opened: list = [None, []]
+
+
+def _open(shared) -> list[np.ndarray]:
+    """The map of a broadcast, opened once in a process; only the last one is held."""
+    if _opened[0] != shared.value[1]:
+        _opened[:] = [None, []]
+        maps = [np.frombuffer(b"".join(map(zlib.decompress, row)), dtype=np.uint8) for row in shared.value[0]]
+        _opened[:] = [shared.value[1], maps]
+    return _opened[1]
 
 
 def _estimated(maps: list[np.ndarray], h: np.ndarray, g: np.ndarray, bits: int) -> np.ndarray:
@@ -180,21 +191,47 @@ def _estimated(maps: list[np.ndarray], h: np.ndarray, g: np.ndarray, bits: int)
     return often
 
 
-_FOUND = "h long, g int, doc_id long, at long"
+_FOUND = "h long, g int, doc_id long, at long, runs binary"
 
 
-def _candidates(slim: DataFrame, maps: list[bytes], bits: int, window: int) -> DataFrame:
+def _candidates(slim: DataFrame, maps: list[list[bytes]], bits: int, window: int) -> DataFrame:
     """Windows estimated repeated: the first of each kind in a task, and the places of the others.
 
-    ``at`` is the start times 2**32 plus the text's crc, which tells rows of
-    one id apart.  A window met again within a task needs no comparison: it
-    is given with a null hash.  So no kind has more rows than there are
-    chunks of windows, however often it occurs.
+    ``at`` is the start times 2**32 plus ``crc``, which tells rows of one id
+    with different texts apart and is zero elsewhere.  A window met again within a task needs no comparison: such
+    starts are given as ``runs`` of a document, pairs of first and end, under
+    a key of their own.  So no kind has more rows than there are chunks of
+    windows, however often it occurs.
     """
-    shared = slim.sparkSession.sparkContext.broadcast(maps)
+    shared = slim.sparkSession.sparkContext.broadcast((maps, uuid4().hex))
+
+    def batches_of(h: np.ndarray, g: np.ndarray, doc: np.ndarray, at: np.ndarray, runs: list[bytes] | None) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(h), 50_000):
+            p = slice(a, a + 50_000)
+            blobs = pa.nulls(len(h[p]), pa.binary()) if runs is None else pa.array(runs[p], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[p].view(np.int64)), pa.array(g[p].astype(np.int32)), pa.array(doc[p]), pa.array(at[p]), blobs],
+                ["h", "g", "doc_id", "at", "runs"],
+            )
+
+    def runs_of(doc: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Starts of each document and text as runs of following numbers."""
+        crc, start = at & 0xFFFFFFFF, at >> 32
+        order = np.lexsort((start, crc, doc))
+        doc, crc, start = doc[order], crc[order], start[order]
+        other = (doc[1:] != doc[:-1]) | (crc[1:] != crc[:-1])
+        heads = np.flatnonzero(np.concatenate([[True], other | (start[1:] != start[:-1] + 1)]))
+        ends = np.append(heads[1:], len(start))
+        pairs = np.stack([start[heads], start[ends - 1] + 1], axis=1).astype("<i4")
+        texts = np.flatnonzero(np.concatenate([[True], other]))
+        cuts = np.append(np.searchsorted(heads, texts), len(heads)).tolist()
+        blobs = [pairs[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        d, c = doc[texts], crc[texts]
+        key = _mixed(d.view(np.uint64) ^ c.astype(np.uint64))
+        return batches_of(key, np.full(len(d), -1), d, c, blobs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        local = [np.frombuffer(m, dtype=np.uint8) for m in shared.value]
+        local = _open(shared)
         held: list[tuple[np.ndarray, ...]] = []
         n = 0
 
@@ -204,19 +241,16 @@ def _candidates(slim: DataFrame, maps: list[bytes], bits: int, window: int) -> D
             h, g, doc, at = h[order], g[order], doc[order], at[order]
             again = np.zeros(len(h), dtype=bool)
             again[1:] = (h[1:] == h[:-1]) & (g[1:] == g[:-1])
-            # rows that are the same place of the same id are both first
+            # rows alike in id and text have the same places: one of them is enough
             same = np.zeros(len(h), dtype=bool)
             same[1:] = again[1:] & (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])
             lead = np.maximum.accumulate(np.where(again, 0, np.arange(len(h))))
-            first = ~again | (same & (doc == doc[lead]) & (at == at[lead]))
-            keep = ~same
-            h, g, doc, at, first = h[keep], g[keep], doc[keep], at[keep], first[keep]
-            for a in range(0, len(h), 50_000):
-                p = slice(a, a + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[p].view(np.int64), mask=~first[p]), pa.array(g[p].astype(np.int32)), pa.array(doc[p]), pa.array(at[p])],
-                    ["h", "g", "doc_id", "at"],
-                )
+            later = again & ((doc != doc[lead]) | (at != at[lead]))
+            first = ~again
+            yield from batches_of(h[first], g[first], doc[first], at[first], None)
+            later &= ~same
+            if later.any():
+                yield from runs_of(doc[later], at[later])
 
         for doc, crc, h, g in _windows(batches, window):
             place = np.flatnonzero(_estimated(local, h, g, bits))
@@ -229,29 +263,30 @@ def _candidates(slim: DataFrame, maps: list[bytes], bits: int, window: int) -> D
         if held:
             yield from hand_on()
 
-    return slim.select("doc_id", "text").mapInArrow(run, _FOUND)
+    return slim.select("doc_id", "crc", "text").mapInArrow(run, _FOUND)
 
 
 def repeated_starts(slim: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, crc, starts): sorted starts of the windows that also start earlier."""
+    """(doc_id, crc, starts, runs): starts of the windows that also start earlier, one by one and in runs."""
     maps, bits = repeat_map(slim, window)
-    found = stage(_candidates(slim, maps, bits, window), "windows")
-    kinds = Window.partitionBy("h", "g")
+    found = _candidates(slim, maps, bits, window)
     place = F.struct("doc_id", "at")
-    later = (
-        found.where("h is not null")
-        .withColumn("first", F.min(place).over(kinds))
-        .where(F.col("first") != place)
-        .select("doc_id", "at")
-    )
-    here = found.where("h is null").select("doc_id", "at")
-    starts = later.union(here).select(
+    kinds = Window.partitionBy("h", "g")
+    later = found.withColumn("first", F.min(place).over(kinds)).where(F.col("runs").isNotNull() | (F.col("first") != place))
+    starts = later.select(
         "doc_id",
         F.expr("at & 4294967295").alias("crc"),
-        F.expr("cast(shiftright(at, 32) as int)").alias("start"),
+        F.when(F.col("runs").isNull(), F.expr("cast(shiftright(at, 32) as int)")).alias("start"),
+        "runs",
     )
     # a document's starts: no more than its words
-    return starts.groupBy("doc_id", "crc").agg(F.collect_list("start").alias("starts"))
+    return starts.groupBy("doc_id", "crc").agg(F.collect_list("start").alias("starts"), F.collect_list("runs").alias("runs"))
+
+
+def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        packed = [zlib.compress(t.encode(), 4) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("crc"), pa.array(packed, pa.binary())], ["doc_id", "crc", "packed"])
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -266,22 +301,35 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Null texts have no words.
     """
     slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), text_of().alias("text"))
+    crc = F.crc32(F.encode("text", "UTF-8"))
+    # ids that have rows with different texts: none in a sound corpus
+    twins = slim.select("doc_id", crc.alias("c")).groupBy("doc_id").agg(F.min("c").alias("a"), F.max("c").alias("b"))
+    twins = stage(twins.where("a <> b").select(F.col("doc_id").alias("_twin")), "twins")
+    slim = slim.join(twins, F.col("doc_id") == F.col("_twin"), "left").select(
+        "doc_id", F.when(F.col("_twin").isNotNull(), crc).otherwise(0).alias("crc"), "text"
+    )
     starts = repeated_starts(slim, window).withColumnRenamed("doc_id", "_id")
-    whole = slim.withColumn("crc", F.crc32(F.encode("text", "UTF-8")))
+    # texts cross the shuffle compressed
+    whole = slim.mapInArrow(_pressed, "doc_id long, crc long, packed binary")
     joined = whole.join(starts, (F.col("doc_id") == F.col("_id")) & (whole["crc"] == starts["crc"]), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "packed", 1 << 21):
             kept, n_words, n_removed = [], [], []
-            for text, at in zip(batch.column("text").to_pylist(), batch.column("starts")):
-                words = text.encode().split()
+            columns = (batch.column("packed").to_pylist(), batch.column("starts"), batch.column("runs"))
+            for text, at, runs in zip(*columns):
+                words = zlib.decompress(text).split()
                 n = len(words)
                 gone = 0
-                if at.is_valid and len(at):
+                if at.is_valid:
                     edges = np.zeros(n + 1, dtype=np.int64)
                     places = at.values.to_numpy()
                     np.add.at(edges, places, 1)
                     np.add.at(edges, places + window, -1)
+                    for pairs in runs.as_py():
+                        found = np.frombuffer(pairs, dtype="<i4").reshape(-1, 2)
+                        np.add.at(edges, found[:, 0], 1)
+                        np.add.at(edges, found[:, 1] - 1 + window, -1)
                     stay = np.cumsum(edges[:-1]) == 0
                     gone = n - int(stay.sum())
                     words = [words[i] for i in np.flatnonzero(stay)]
@@ -295,4 +343,4 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             )
 
     schema = "doc_id long, n_words long, n_removed long, kept string"
-    return joined.select("doc_id", "text", "starts").mapInArrow(run, schema)
+    return joined.select("doc_id", "packed", "starts", "runs").mapInArrow(run, schema)
