@@ -24,21 +24,22 @@ class Encoder:
 
     The tokenizer splits a text before it merges bytes, and a blank before a
     visible character always starts a new piece, as does a line feed between
-    two visible ones.  Pieces between such places are encoded once and kept,
-    at most ``max_pieces`` of them.  Texts with any other white space are
-    given to the tokenizer whole.  Empty and null texts have no ids.
+    two visible ones.  Pieces between such places are encoded once and kept
+    while they recur: of two generations of at most ``max_pieces`` each the
+    older one is forgotten.  Texts with any other white space are given to the
+    tokenizer whole.  Empty and null texts have no ids.
     """
 
-    def __init__(self, path: str, max_pieces: int = 500_000):
+    def __init__(self, path: str, max_pieces: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.max_pieces = max_pieces
-        self.bare: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-        self.line = self._whole("\n")
+        #: a piece without a line feed stands for itself after a blank
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks = {c: self._whole(c) for c in ",."}
 
     def _whole(self, text: str) -> bytes:
@@ -57,57 +58,48 @@ class Encoder:
             or OTHER_SPACE.search(text)
         )
 
-    def _learn(self, known: dict[str, bytes], seen: set[str], lead: str) -> None:
+    def _learn(self, seen: set[str]) -> None:
+        if len(self.known) > self.max_pieces:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         new = seen.difference(known)
-        if not new:
-            return
+        for w in new.intersection(older):
+            known[w] = older[w]
+        new.difference_update(known)
         # a word and the comma or stop after it are separate pieces
         ended = [w for w in new if w[-1] in ",." and len(w) > 1 and w[-2].isalpha()]
         stems = new.difference(ended)
-        stems.update(w[:-1] for w in ended)
+        stems.update([w[:-1] for w in ended])
         order = [w for w in stems if w not in known]
-        for at in range(0, len(order), 4096):
-            group = order[at : at + 4096]
-            text = "".join([f"\n{lead}{w}" for w in group])
+        for at in range(0, len(order), 1 << 15):
+            group = order[at : at + (1 << 15)]
+            text = "".join([w if w[0] == "\n" else f"\n {w}" for w in group])
             found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
             ids = np.array(found, dtype="<u4")
             starts = np.flatnonzero(ids == NEW_LINE)
             data, cuts = ids.tobytes(), (starts * 4).tolist() + [len(ids) * 4]
             for w, a, b in zip(group, cuts, cuts[1:]):
-                known[w] = data[a + 4 : b]
+                known[w] = data[a:b] if w[0] == "\n" else data[a + 4 : b]
         for w in ended:
             known[w] = known[w[:-1]] + self.marks[w[-1]]
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        if len(self.bare) + len(self.spaced) > self.max_pieces:
-            self.bare.clear()
-            self.spaced.clear()
-        split: list[list[list[str]] | None] = []
-        first: set[str] = set()
-        rest: set[str] = set()
+        split: list[list[str] | None] = []
+        seen: set[str] = set()
         for text in texts:
-            lines = None
+            pieces = None
             if text and self._plain(text):
-                lines = [line.split(" ") for line in text.split("\n")]
-                first.update([words[0] for words in lines])
-                for words in lines:
-                    rest.update(words[1:])
-            split.append(lines)
-        self._learn(self.bare, first, "")
-        self._learn(self.spaced, rest, " ")
-        out, bare, spaced = [], self.bare, self.spaced.__getitem__
-        for text, lines in zip(texts, split):
-            if lines is None:
-                out.append(self._whole(text) if text else b"")
-                continue
-            parts: list[bytes] = []
-            for words in lines:
-                if parts:
-                    parts.append(self.line)
-                parts.append(bare[words[0]])
-                parts.extend(map(spaced, words[1:]))
-            out.append(b"".join(parts))
-        return out
+                # the line feed before the text is taken off its ids again
+                pieces = text.replace("\n", " \n").split(" ")
+                pieces[0] = "\n" + pieces[0]
+                seen.update(pieces)
+            split.append(pieces)
+        self._learn(seen)
+        get = self.known.__getitem__
+        return [
+            (self._whole(text) if text else b"") if pieces is None else b"".join(map(get, pieces))[4:]
+            for text, pieces in zip(texts, split)
+        ]
 
 
 _encoders: dict[str, Encoder] = {}
