@@ -63,6 +63,7 @@ class Bins:
         self.free: list[int] = []
         self.by_space: list[list[int]] = [[] for _ in range(capacity + 1)]
         self.spaces = 0
+        self.worth: tuple[int, float] | None = None
 
     def _file(self, b: int) -> None:
         space = self.free[b]
@@ -90,7 +91,10 @@ class Bins:
 
 def fitness(bins: Bins) -> tuple[int, float]:
     """Fewer bins first; of equally many, those with their free space in few bins."""
-    return (-len(bins.items), sum(((bins.capacity - f) / bins.capacity) ** 2 for f in bins.free))
+    if bins.worth is None:
+        full = bins.capacity
+        bins.worth = (-len(bins.items), sum([((full - f) / full) ** 2 for f in bins.free]))
+    return bins.worth
 
 
 def crossover(one: Bins, other: Bins, lengths: Sequence[int], rng: random.Random) -> Bins:
@@ -111,7 +115,7 @@ def crossover(one: Bins, other: Bins, lengths: Sequence[int], rng: random.Random
             child.add_bin(list(items), free)
         else:
             homeless.extend(i for i in items if i not in taken)
-    for i in sorted(homeless, key=lambda i: -lengths[i]):
+    for i in sorted(homeless):  # lengths fall
         child.best_fit(i, lengths[i])
     return child
 
@@ -127,7 +131,7 @@ def mutate(bins: Bins, lengths: Sequence[int], rng: random.Random) -> Bins:
             homeless.extend(items)
         else:
             child.add_bin(list(items), free)
-    for i in sorted(homeless, key=lambda i: -lengths[i]):
+    for i in sorted(homeless):  # lengths fall
         child.best_fit(i, lengths[i])
     return child
 
@@ -211,8 +215,6 @@ def place(found: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, island
     as well.  Each block leaves its last bin part empty; bins under 95 % are
     opened again and packed once more together.
     """
-    spark = found.sparkSession
-
     def packed(rows: DataFrame, n_rows: int, name: str, base: int) -> DataFrame:
         n_blocks = max(1, -(-n_rows // block))
         # the deal is spread over [0, 1): its product with the number of blocks names one
@@ -240,14 +242,19 @@ def place(found: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, island
         laid = dealt.groupBy("block").cogroup(best.groupBy("block")).applyInPandas(lay, schema)
         return stage(laid.drop("block"), name)
 
+    # a full piece is a sequence of its own
+    whole = found.where(F.col("length") >= capacity).withColumns(
+        {"offset": F.lit(0).cast("long"), "sequence_id": -1 - F.monotonically_increasing_id()}
+    )
+    found = found.where(F.col("length") < capacity)
     n = found.count()
     first = packed(found, n, "placed", 0)
     if n <= block:
-        return first.drop("fill")
+        return first.drop("fill").unionByName(whole)
     loose = first.where(F.col("fill") < int(0.95 * capacity))
     again = loose.select(*found.columns)
     second = packed(again, loose.count(), "placed-again", -(-n // block) + 1)
-    return first.where(F.col("fill") >= int(0.95 * capacity)).unionByName(second).drop("fill")
+    return first.where(F.col("fill") >= int(0.95 * capacity)).unionByName(second).drop("fill").unionByName(whole)
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
