@@ -19,7 +19,7 @@ WINDOW = 20
 #: cells of the sketch for each window, its rows, most bits of its map, bits of a segment
 CELLS, ROWS, MAX_BITS, SEGMENT = 4, 2, 1 << 30, 22
 #: windows that a task compares with each other before it hands them on
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 NULL_ID = -(1 << 63)
 #: fixed values: odd bases of the two rolling hashes, and multipliers that mix their bits
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
