@@ -21,6 +21,8 @@ from sluice.session import stage
 CAPACITY, END_ID = 1024, 2
 #: documents of a block, islands of a block, solutions of an island, generations of an epoch
 BLOCK, ISLANDS, POPULATION, GENERATIONS, EPOCHS = 4096, 2, 4, 6, 2
+#: bins filled less than this after the first packing are opened again
+LOOSE = 0.98
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, deal double, ids binary"
 
 
@@ -212,7 +214,7 @@ def place(found: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, island
     Rows are dealt at random into blocks of about ``block``, so that no group
     grows with the data or with one document id.  Each block is packed by several
     islands; after an epoch each island's best solution moves to the next one
-    as well.  Each block leaves its last bin part empty; bins under 95 % are
+    as well.  Each block leaves its last bins part empty; bins under LOOSE are
     opened again and packed once more together.
     """
     def packed(rows: DataFrame, n_rows: int, name: str, base: int) -> DataFrame:
@@ -251,10 +253,10 @@ def place(found: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, island
     first = packed(found, n, "placed", 0)
     if n <= block:
         return first.drop("fill").unionByName(whole)
-    loose = first.where(F.col("fill") < int(0.95 * capacity))
+    loose = first.where(F.col("fill") < int(LOOSE * capacity))
     again = loose.select(*found.columns)
     second = packed(again, loose.count(), "placed-again", -(-n // block) + 1)
-    return first.where(F.col("fill") >= int(0.95 * capacity)).unionByName(second).drop("fill").unionByName(whole)
+    return first.where(F.col("fill") >= int(LOOSE * capacity)).unionByName(second).drop("fill").unionByName(whole)
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

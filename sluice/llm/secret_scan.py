@@ -29,7 +29,9 @@ KINDS = ("assign", "access", "hex")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 MIN_SCORE, MIN_RATE = 12.0, 0.4
 #: ordinary identifiers to learn from: words of a length like that of a secret
-ORDINARY = r"[A-Za-z_-]{8,}"
+ORDINARY = r"[A-Za-z0-9_-]{8,}"
+#: weight of the frequency of single characters in that of pairs; most that one pair can say
+BACKOFF, MOST = 8.0, 3.0
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 #: entries of an array that are summed in one go
 RUN = 256
@@ -108,16 +110,19 @@ def samples(docs: DataFrame) -> DataFrame:
         F.transform("_s_hex", lambda s: s["value"]),
     )
     secret = slim.select(F.explode(values).alias("word"), F.lit(True).alias("secret"))
-    ordinary = docs.select(F.explode(F.regexp_extract_all(text_of(), F.lit(ORDINARY), 0)).alias("word"), F.lit(False).alias("secret"))
+    rest = F.regexp_replace(text_of(), ASSIGN, " ")
+    ordinary = docs.select(F.explode(F.regexp_extract_all(rest, F.lit(ORDINARY), 0)).alias("word"), F.lit(False).alias("secret"))
     return secret.union(ordinary.where(~F.col("word").rlike(f"{ACCESS_LONG}|{HEX_LONG}")))
 
 
 def train(labelled: DataFrame) -> list[float]:
     """Log-likelihood ratios of character pairs, a row of the alphabet for each first character.
 
-    Two first-order Markov models with add-one smoothing, of random strings
-    and of ordinary identifiers.  The counts that reach the driver are at most
-    one for each pair of alphabet characters and label.
+    Two first-order Markov models, of random strings and of ordinary
+    identifiers.  A pair that was seen seldom leans on the frequency of its
+    second character, and no pair says more than MOST, so that a few digits in
+    a name do not outweigh its letters.  The counts that reach the driver are
+    at most one for each pair of alphabet characters and label.
     """
     pairs = (
         labelled.where(F.length("word") > 1)
@@ -126,19 +131,19 @@ def train(labelled: DataFrame) -> list[float]:
         .where(F.col("pair").rlike("^[A-Za-z0-9+/_=.-]{2}$"))
         .groupBy("secret", "pair").agg(F.sum("k").alias("n"))
     )
-    size = len(ALPHABET)
-    count = {True: {}, False: {}}
+    count: dict[bool, dict[str, int]] = {True: {}, False: {}}
     for row in pairs.collect():
         count[row["secret"]][row["pair"]] = row["n"]
     chance: dict[bool, list[float]] = {}
     for label, found in count.items():
+        single = [1 + sum(found.get(a + b, 0) for a in ALPHABET) for b in ALPHABET]
+        share = [n / sum(single) for n in single]
         chance[label] = []
         for a in ALPHABET:
-            row = [found.get(a + b, 0) + 1 for b in ALPHABET]
+            row = [found.get(a + b, 0) + BACKOFF * p for b, p in zip(ALPHABET, share)]
             total = sum(row)
             chance[label] += [math.log(n / total) for n in row]
-    assert len(chance[True]) == size * size
-    return [r - o for r, o in zip(chance[True], chance[False])]
+    return [min(MOST, max(-MOST, r - o)) for r, o in zip(chance[True], chance[False])]
 
 
 def score(word: Column, model: list[float]) -> Column:
@@ -159,8 +164,8 @@ def score(word: Column, model: list[float]) -> Column:
 
 def is_random(word: Column, model: list[float]) -> Column:
     total = score(word, model)
-    digits = F.length(F.translate(word, "0123456789", "")) < F.length(word)
-    return digits & (total >= F.greatest(F.lit(MIN_SCORE), MIN_RATE * (F.length(word) - 1)))
+    mixed = word.rlike("[0-9]") & word.rlike("[A-Za-z]")
+    return mixed & (total >= F.greatest(F.lit(MIN_SCORE), MIN_RATE * (F.length(word) - 1)))
 
 
 def scan(docs: DataFrame, model: list[float] | None = None, mark: str = "_s_") -> DataFrame:
