@@ -207,7 +207,7 @@ _DECLARED = (
         "customers", "customers.csv", BATCH, "dim_customer", "customer_id",
         (
             _int("customer_id", True),
-            _str("full_name"),
+            _str("full_name", required=True),
             _str("email"),
             _str("phone"),
             _num("region_id"),

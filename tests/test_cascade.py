@@ -41,7 +41,7 @@ def test_customer_rules(spark):
         # a null counts although the column is nullable
         ({"region_id": ""}, ("records", "null:region_id")),
         ({"created_at": "None"}, ("records", "null:created_at")),
-        ({"full_name": ""}, (None, None)),
+        ({"full_name": ""}, ("schema", "required:full_name")),
         ({"email": "a@b.org"}, ("records", "email_format:email")),
         ({"email": ""}, ("records", "email_format:email")),
         ({"email": None}, ("records", "email_format:email")),

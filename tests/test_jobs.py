@@ -213,6 +213,23 @@ def test_stream_gives_what_batch_gives(spark, with_parents, tmp_path):
     assert volume_alerts(w.read("quarantine"), limit=0).count() == 2
 
 
+def test_second_stream_and_renewed_checkpoint_keep_earlier_rows(spark, with_parents, tmp_path):
+    w = with_parents
+
+    def run(folder, check):
+        stream_ingest(spark, "orders", str(tmp_path / folder), w, str(tmp_path / check),
+                      clock=lambda: DAY).awaitTermination()
+        return sorted(r["order_id"] for r in w.read("fact_order").collect())
+
+    write_json(tmp_path / "one" / "orders.json", orders("a1", "a2"))
+    write_json(tmp_path / "two" / "orders.json", orders("b1"))
+    assert run("one", "check-one") == ["a1", "a2"]
+    assert run("two", "check-two") == ["a1", "a2", "b1"]
+    write_json(tmp_path / "two" / "later" / "orders.json", orders("b2"))
+    assert run("two", "check-new") == ["a1", "a2", "b1", "b2"]
+    assert w.read("processed_files").where("status = 'success'").count() >= 3
+
+
 def test_sla_view_follows_the_tickets(spark, with_parents, tmp_path):
     w = with_parents
     refresh = keep_sla_view_fresh(spark, w, str(tmp_path / "check"), every="1 second")
