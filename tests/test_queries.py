@@ -11,6 +11,7 @@ from pathlib import Path
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from sluice.catalog import all_queries
 
 duckdb = pytest.importorskip("duckdb")
 SF_DIR = Path("/root/testdata/sf0.001")
@@ -25,7 +26,9 @@ SELECTED = (
     "recent_quarantine", "ledger_current", "files_to_process", "status_transitions",
     "csv_round_trip",
 )
-NAMES = sorted(queries()) if os.environ.get("SLUICE_ALL_QUERIES") else SELECTED
+#: queries of this package; those of the pipeline operators have tests of their own
+OWN = all_queries()
+NAMES = sorted(OWN) if os.environ.get("SLUICE_ALL_QUERIES") else SELECTED
 
 
 @pytest.fixture(scope="module")
@@ -59,5 +62,6 @@ def test_same_rows_as_sql(spark, sql, name):
 
 
 def test_every_query_has_sql_but_the_file_scan():
-    assert set(queries()) - set(oracle_sql()) == {"file_md5_scan"}
+    assert set(OWN) - set(oracle_sql()) == {"file_md5_scan"}
     assert set(oracle_sql()) <= set(queries())
+    assert set(OWN) <= set(queries())
