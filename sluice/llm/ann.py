@@ -22,8 +22,8 @@ from sluice.session import stage
 
 #: vectors that the graph and the classifier are fitted on, at most; its neighbours
 SAMPLE, GRAPH_K = 8192, 10
-#: rows of a part, most parts, least parts searched, share of the parts searched
-PART_ROWS, MAX_PARTS, MIN_PROBES, PROBE_SHARE = 1000, 128, 6, 0.15
+#: rows of a part, most parts, share of the held-out neighbours that the searched parts must hold
+PART_ROWS, MAX_PARTS, TARGET = 1000, 128, 0.96
 #: rows of a part that are searched by one task; larger parts are split
 BLOCK_ROWS = 1024
 HIDDEN, ROUNDS, BATCH, SEED = 128, 30, 256, 11
@@ -128,19 +128,39 @@ class Router:
         return np.argsort(-out, axis=1, kind="stable")[:, :count]
 
 
-def fit(x: np.ndarray, parts: int) -> Router:
-    """Graph, parts and classifier from a sample; equal rows of it count once."""
+def fit(x: np.ndarray, parts: int, target: float = TARGET) -> tuple[Router, int]:
+    """Classifier from a sample, and how many parts to search for a query.
+
+    Equal rows of the sample count once.  A tenth of it is held out: the parts
+    searched are as many as hold the ``target`` share of its nearest rows in
+    the rest.  Rows of the whole table are nearer to a query than those of the
+    sample, so this errs to the safe side.
+    """
     x = np.unique(x, axis=0)
     parts = max(1, min(parts, len(x) // 8))
     if parts == 1:
-        return Router(x, np.ones((len(x), 1)))
+        return Router(x, np.ones((len(x), 1))), 1
+    x = x[np.random.default_rng(SEED).permutation(len(x))]
+    held, x = x[: len(x) // 10], x[len(x) // 10 :]
     graph = neighbour_graph(x, GRAPH_K)
     part = balanced_parts(x, graph, parts)
     targets = np.zeros((len(x), parts))
     own = np.arange(len(x))
     for column in [own, *graph.T]:
         np.add.at(targets, (own, part[column]), 1.0)
-    return Router(x, targets / targets.sum(1, keepdims=True))
+    router = Router(x, targets / targets.sum(1, keepdims=True))
+    if not len(held):
+        return router, parts
+    place = np.argsort(router.parts(held, parts), axis=1)
+    assigned = router.parts(x, 1)[:, 0]
+    squares, k = (x * x).sum(1), min(GRAPH_K, len(x))
+    seen = np.zeros(parts)
+    for a in range(0, len(held), 512):
+        near = np.argpartition(squares - 2 * (held[a : a + 512] @ x.T), k - 1, axis=1)[:, :k]
+        ranks = np.take_along_axis(place[a : a + 512], assigned[near], axis=1)
+        seen += np.bincount(ranks.ravel(), minlength=parts)
+    covered = np.cumsum(seen) / seen.sum()
+    return router, min(parts, int(np.searchsorted(covered, target)) + 1)
 
 
 def usable(vector: Column) -> Column:
@@ -153,7 +173,7 @@ def usable(vector: Column) -> Column:
 
 def search(
     rows: DataFrame, queries: DataFrame, k: int = 10, id_column: str = "vec_id", vector: str = "embedding",
-    probe_share: float = PROBE_SHARE, part_rows: int = PART_ROWS,
+    target: float = TARGET, part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """The k nearest rows found for each query: query_id, rank, vec_id, score.
 
@@ -177,10 +197,8 @@ def search(
     dims, n_rows = stats[0]["d"], stats[0]["n"]
     valid, asked = (df.where(F.size("v") == dims) for df in (valid, asked))
     sample = valid.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toPandas()["v"]
-    router = fit(np.array(sample.tolist(), dtype=np.float64), min(MAX_PARTS, n_rows // part_rows))
+    router, probes = fit(np.array(sample.tolist(), dtype=np.float64), min(MAX_PARTS, n_rows // part_rows), target)
     shared = spark.sparkContext.broadcast(router)
-    n_parts = len(router.w[3])
-    probes = min(n_parts, max(MIN_PROBES, math.ceil(probe_share * n_parts)))
 
     def assign(count: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
