@@ -355,7 +355,7 @@ def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # processed_at and event_id order the events of one file
     events = _ledger_events(spark, sf_dir)
-    return files_to_process(found, events)
+    return files_to_process(found, events, ("processed_at", "event_id"))
 
 
 # ------------------------------------------------------------------ audit
@@ -382,6 +382,7 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in AUDITED:
         e = ENTITIES[name]
         part = file_counts(tagged_fixture(spark, sf_dir, name)).select(
+            F.col(FILE).alias("file_path"),
             F.element_at(F.split(F.col(FILE), "/"), -1).alias("file_name"),
             F.lit(e.kind).alias("file_type"),
             F.lit(e.table).alias("source_table"),
@@ -401,7 +402,7 @@ def _file_month():
 
 def _log_sql() -> str:
     parts = [
-        f"""SELECT split_part(_file, '/', -1) AS file_name, '{ENTITIES[n].kind}' AS file_type,
+        f"""SELECT _file AS file_path, split_part(_file, '/', -1) AS file_name, '{ENTITIES[n].kind}' AS file_type,
           '{ENTITIES[n].table}' AS source_table, {_COUNTS},
           CAST(substr(split_part(_file, '/', -2), 1, 7) || '-01 06:30:00' AS TIMESTAMP)
             AS processed_at FROM {n}_tagged GROUP BY _file"""
@@ -429,12 +430,11 @@ def file_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "failed_files_top20",
     _log_sql() + """SELECT file_name, source_table, rejection_stage, quarantined, processed_at
-        FROM log WHERE status = 'failed' AND source_table = 'fact_order'
-        ORDER BY processed_at DESC, file_name LIMIT 20""",
+        FROM log WHERE status = 'failed'
+        ORDER BY processed_at DESC, file_name, file_path LIMIT 20""",
 )
 def failed_files_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _log(spark, sf_dir)
-    return failed_files(log.where(F.col("source_table") == "fact_order"))
+    return failed_files(_log(spark, sf_dir))
 
 
 @register(

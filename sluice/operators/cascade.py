@@ -27,6 +27,8 @@ from sluice.spec import Entity
 
 #: bookkeeping columns of raw rows: the file and the row's place in the scan
 FILE, ROW = "_file", "_row"
+#: of rows read from files: when the file came, and the text of a record with too many cells
+ARRIVED, EXCESS = "_arrived", "_excess"
 STAGE, RULE = "reject_stage", "reject_rule"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.text import REASON_ORPHAN, REASON_RULES, REASON_SCHEMA, file_stem
-from sluice.operators.cascade import FILE, RULE, STAGE
+from sluice.operators.cascade import EXCESS, FILE, RULE, STAGE
 from sluice.spec import Entity
 
 ALERT_ROWS = 50
@@ -31,7 +31,15 @@ def quarantine_id(*parts: str) -> Column:
 
 
 def quarantine_rows(rejects: DataFrame, entity: Entity, quarantined_at: Column) -> DataFrame:
-    """Tagged raw rejects as quarantine rows; equal copies of one file become one row."""
+    """Tagged raw rejects as quarantine rows; equal copies of one file become one row.
+
+    Copies are found by the id, a hash of fixed length, not by comparing texts.
+    Records with too many cells carry their original text as well.
+    """
+    raw = as_json(*entity.names)
+    if EXCESS in rejects.columns:
+        raw = F.when(F.col(EXCESS).isNull(), raw).otherwise(as_json(*entity.names, EXCESS))
+    whole = ("source_file", "source_table", "rejection_reason", "rejection_stage", "raw_data")
     return (
         rejects.select(
             F.col(FILE).alias("source_file"),
@@ -39,14 +47,19 @@ def quarantine_rows(rejects: DataFrame, entity: Entity, quarantined_at: Column)
             reason_text(F.col(STAGE), entity.kind).alias("rejection_reason"),
             F.col(STAGE).alias("rejection_stage"),
             F.col(RULE).alias("rejection_rule"),
-            as_json(*entity.names).alias("raw_data"),
+            raw.alias("raw_data"),
+        )
+        .withColumn(
+            "quarantine_id",
+            quarantine_id("source_file", "source_table", "rejection_stage", "raw_data"),
+        )
+        .groupBy("quarantine_id")
+        .agg(
+            *[F.any_value(c).alias(c) for c in whole],
+            F.min("rejection_rule").alias("rejection_rule"),
         )
-        .groupBy("source_file", "source_table", "rejection_reason", "rejection_stage", "raw_data")
-        .agg(F.min("rejection_rule").alias("rejection_rule"))
         .select(
-            quarantine_id("source_file", "source_table", "rejection_stage", "raw_data").alias(
-                "quarantine_id"
-            ),
+            "quarantine_id",
             "source_file",
             "source_table",
             "rejection_reason",

@@ -118,12 +118,12 @@ def daily_file_summary(
 
 
 def failed_files(log: DataFrame, limit: int = 20) -> DataFrame:
-    """The latest failures."""
+    """The latest failures; of one time, by name and path."""
     return (
         log.where(F.col("status") == "failed")
-        .select("file_name", "source_table", "rejection_stage", "quarantined", "processed_at")
-        .orderBy(F.desc("processed_at"), "file_name")
+        .orderBy(F.desc("processed_at"), "file_name", "file_path")
         .limit(limit)
+        .select("file_name", "source_table", "rejection_stage", "quarantined", "processed_at")
     )
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from sluice.functions.pii import mask
 from sluice.functions.text import REASON_SCHEMA
 from sluice.operators.cascade import (
+    ARRIVED,
+    EXCESS,
     FILE,
     ROW,
     RULE,
@@ -112,8 +114,13 @@ def audit_rows(
     )
 
 
-def ledger_rows(log: DataFrame, loaded: DataFrame | None, error: str | None = None) -> DataFrame:
-    """Ledger events for audited files; ``loaded`` counts the rows inserted per file."""
+def ledger_rows(
+    log: DataFrame, loaded: DataFrame | None, seq: int, error: str | None = None
+) -> DataFrame:
+    """Ledger events for audited files; ``loaded`` counts the rows inserted per file.
+
+    ``seq`` orders the events of loads with the same time.
+    """
     if loaded is None:
         count = F.lit(0)
     else:
@@ -124,6 +131,7 @@ def ledger_rows(log: DataFrame, loaded: DataFrame | None, error: str | None = No
         "file_hash",
         "status",
         "processed_at",
+        F.lit(seq).cast("bigint").alias("seq"),
         count.cast("bigint").alias("records_loaded"),
         F.lit(error).cast("string").alias("error_msg"),
     )
@@ -142,7 +150,11 @@ def ingest(
     """Load files of one entity: validate, quarantine, hash, insert if absent, record.
 
     Files whose path and content were loaded before are skipped.  A file
-    whose columns are not the declared ones is quarantined whole.  Running
+    whose columns are not the declared ones, in any order, is quarantined
+    whole, and one that cannot be read is recorded as failed; the others
+    load.  If the load itself fails, its files are recorded as failed before
+    the error is raised.  Of rows with one key the first to arrive counts:
+    by the file's time, its path and the place in the file.  Running
     the same batch id again gives the same tables.  With ``backup`` a CSV
     copy of the quarantined rows is left below that folder.
     """
@@ -165,7 +177,9 @@ def _ingest(
     result = Outcome(entity.name)
     found = stage(inventory(spark, paths), "inventory")
     ledger = warehouse.read("processed_files", but_batch=batch_id)
-    pending = stage(files_to_process(found, ledger), "pending")
+    order = ("processed_at", "seq")
+    pending = stage(files_to_process(found, ledger, order), "pending")
+    seq = (ledger.agg(F.max("seq")).first()[0] or 0) + 1
 
     # file names only, as many as the scan itself lists on the driver
     todo = list(pending.select("path", "file_path", "columns").toLocalIterator())
@@ -175,60 +189,69 @@ def _ingest(
         for r in found.select("path").toLocalIterator()
         if r["path"] not in todo_paths
     )
-    good, bad = [], {}
+    #: paths by format and, for CSV, the order of the columns
+    good: dict[tuple, list[str]] = {}
+    bad, unreadable = {}, set()
     for r in todo:
-        names = r["columns"]
+        path, names = r["path"], r["columns"]
+        try:
+            fmt = file_format(path)
+        except ValueError as error:
+            bad[path] = str(error)
+            unreadable.add(path)
+            continue
         if names is None:
-            names = read_untyped(spark, [r["path"]], file_format(r["path"])).columns
+            names = read_untyped(spark, [path], fmt).columns
         missing, extra = column_difference(names, entity)
         if missing or extra:
-            bad[r["path"]] = f"missing columns {missing}, extra columns {extra}"
+            bad[path] = f"missing columns {missing}, extra columns {extra}"
         else:
-            good.append(r["path"])
+            good.setdefault((fmt, tuple(names) if fmt == "csv" else None), []).append(path)
+    good_paths = sorted(p for paths in good.values() for p in paths)
 
     logs, ledger_events, quarantined = [], [], []
     at = moment(as_of)
     if good:
-        # numbered in file order before they are shared out
-        raw = stage(spread(_read_all(spark, good, entity)), "raw")
-        tagged = stage(tag(raw, entity, parents_of(entity, warehouse), null_mode), "tagged")
+        files = pending.join(_paths_of(spark, good_paths), "path", "left_semi")
+        try:
+            tagged, new = _insert(spark, entity, good, warehouse, batch_id, at, null_mode)
+        except Exception as error:
+            failed = audit_rows(_no_counts(spark), files, entity, "failed", at)
+            why = f"{type(error).__name__}: {error}"[:1000]
+            warehouse.write_load("pipeline_file_log", failed, batch_id)
+            warehouse.write_load("processed_files", ledger_rows(failed, None, seq, why), batch_id)
+            raise
         quarantined.append(quarantine_rows(rejected_rows(tagged), entity, at))
-
-        rows = build_rows(
-            entity, typed(clean_rows(tagged), entity, FILE, ROW), warehouse, at, FILE, ROW
-        )
-        existing = warehouse.read(entity.table, but_batch=batch_id)
-        new = stage(absent_rows(rows, existing, entity.key, ROW), "new_rows")
-        warehouse.write_load(entity.table, new, batch_id)
-        result.inserted = new.count()
-
-        files = pending.where(F.col("path").isin(good))
         log = audit_rows(file_counts(tagged), files, entity, "success", at)
         logs.append(log)
         per_file = new.groupBy(FILE).agg(F.count("*").alias("records_loaded"))
-        ledger_events.append(ledger_rows(log, per_file))
-        result.loaded = sorted(good)
+        ledger_events.append(ledger_rows(log, per_file, seq))
+        result.inserted = new.count()
+        result.loaded = good_paths
 
     for path, why in sorted(bad.items()):
-        whole = _whole_file(spark, path, entity, at)
-        quarantined.append(whole)
-        counts = whole.groupBy(F.col("source_file").alias(FILE)).agg(
-            F.sum("_copies").alias("total_records"),
-            F.lit(0).alias("valid_records"),
-            F.sum("_copies").alias("quarantined"),
-            F.lit(0).alias("duplicate_count"),
-            F.lit(0).alias("orphan_count"),
-        )
+        counts = _no_counts(spark)
+        if path not in unreadable:
+            whole = _whole_file(spark, path, entity, at)
+            quarantined.append(whole)
+            counts = whole.groupBy(F.col("source_file").alias(FILE)).agg(
+                F.sum("_copies").alias("total_records"),
+                F.lit(0).alias("valid_records"),
+                F.sum("_copies").alias("quarantined"),
+                F.lit(0).alias("duplicate_count"),
+                F.lit(0).alias("orphan_count"),
+            )
         log = audit_rows(
             counts, pending.where(F.col("path") == path), entity, "failed", at, "schema"
         )
         logs.append(log)
-        ledger_events.append(ledger_rows(log, None, why))
+        ledger_events.append(ledger_rows(log, None, seq, why))
         result.failed[path] = why
 
     if logs:
-        warehouse.write_load("quarantine", _union(quarantined), batch_id)
-        if backup is not None:
+        if quarantined:
+            warehouse.write_load("quarantine", _union(quarantined), batch_id)
+        if quarantined and backup is not None:
             write_backup(
                 warehouse.read_load("quarantine", batch_id), backup, entity.kind, batch_id
             )
@@ -242,16 +265,56 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _read_all(spark: SparkSession, paths: list[str], entity: Entity) -> DataFrame:
-    by_format: dict[str, list[str]] = {}
-    for p in paths:
-        by_format.setdefault(file_format(p), []).append(p)
-    return _union([read_text_table(spark, ps, entity, fmt) for fmt, ps in by_format.items()])
+def _paths_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.createDataFrame([(p,) for p in paths], "path string")
+
+
+def _no_counts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        [],
+        f"{FILE} string, total_records long, valid_records long, quarantined long, "
+        "duplicate_count long, orphan_count long",
+    )
+
+
+def _insert(
+    spark: SparkSession,
+    entity: Entity,
+    files: dict[tuple, list[str]],
+    warehouse: Warehouse,
+    batch_id: str,
+    at,
+    null_mode: str,
+) -> tuple[DataFrame, DataFrame]:
+    """Validate and insert the rows of files; returns the tagged raw rows and the new ones."""
+    parts = [
+        read_text_table(spark, paths, entity, fmt, header) for (fmt, header), paths in files.items()
+    ]
+    # numbered in file order before they are shared out
+    raw = stage(spread(_union(parts)), "raw")
+    regular = raw.where(F.col(EXCESS).isNull()).drop(EXCESS)
+    too_wide = raw.where(F.col(EXCESS).isNotNull()).withColumns(
+        {STAGE: F.lit("schema"), RULE: F.lit("cells")}
+    )
+    judged = tag(regular, entity, parents_of(entity, warehouse), null_mode)
+    tagged = stage(judged.unionByName(too_wide, allowMissingColumns=True), "tagged")
+
+    place = (ARRIVED, FILE, ROW)
+    rows = build_rows(
+        entity, typed(clean_rows(tagged), entity, *place), warehouse, at, *place
+    )
+    existing = warehouse.read(entity.table, but_batch=batch_id)
+    new = stage(absent_rows(rows, existing, entity.key, F.struct(*place)), "new_rows")
+    warehouse.write_load(entity.table, new, batch_id)
+    return tagged, new
 
 
 def _whole_file(spark: SparkSession, path: str, entity: Entity, at) -> DataFrame:
     """All rows of a file with undeclared columns, as schema-stage quarantine rows."""
     df = read_untyped(spark, [path], file_format(path))
+    if df.columns == ["_corrupt_record"]:
+        # no document at all, such as a file that was cut off: its lines
+        df = spark.read.text(path).withColumnRenamed("value", "line")
     raw = as_json(*df.columns) if df.columns else F.lit("{}")
     return (
         df.select(F.col("_metadata.file_path").alias("source_file"), raw.alias("raw_data"))

@@ -142,6 +142,8 @@ def retry(
 ) -> dict[str, int]:
     """Retry open quarantine rows, all or those of one table; returns the counters.
 
+    ``retried`` counts the rows inserted.
+
     Facts are taken parents first and each sees the parents restored just
     before it; with ``snapshot`` all see the parents as they were at the
     start.  With ``dry_run`` nothing is written and only the retryable rows
@@ -181,7 +183,7 @@ def _retry(
             }
         return found
 
-    outcomes = []
+    outcomes, inserted, place = [], 0, ("quarantined_at", "quarantine_id")
     for entity in facts:
         rows = is_open.where(
             (F.col("source_table") == entity.table) & (F.col("rejection_stage") == "orphan")
@@ -195,15 +197,16 @@ def _retry(
         outcomes.append(decided.select(*is_open.columns, "unresolved_fk", "outcome"))
         if not dry_run:
             resolved = decided.where(F.col("outcome") == RESOLVED).select(
-                *entity.names, "quarantine_id"
+                *entity.names, *place
             )
             built = build_rows(
-                entity, typed(resolved, entity, "quarantine_id"), warehouse, moment(as_of),
-                "quarantine_id",
+                entity, typed(resolved, entity, *place), warehouse, moment(as_of), *place
             )
             existing = warehouse.read(entity.table, but_batch=batch_id)
-            new = absent_rows(built, existing, entity.key, "quarantine_id")
+            # of copies the one that was quarantined first is restored
+            new = stage(absent_rows(built, existing, entity.key, F.struct(*place)), "restored")
             warehouse.write_load(entity.table, new, batch_id)
+            inserted += new.count()
 
     others = is_open.where(
         (F.col("rejection_stage") == "orphan") & ~F.col("source_table").isin(*tables)
@@ -235,5 +238,5 @@ def _retry(
         ),
         batch_id,
     )
-    totals.update(stats)
+    totals.update(stats, retried=inserted)
     return totals

@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.cascade import FILE, ROW
+from sluice.operators.cascade import ARRIVED, EXCESS, FILE, ROW
 from sluice.spec import BATCH, Entity, entity_for_file, load_order, ENTITIES
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "encoding": "UTF-8"}
 FORMATS = ("csv", "json")
+_RECORD = "_record"
 
 #: larger files are fingerprinted by size and time instead of by content
 MAX_CONTENT_BYTES = 512 * 1024 * 1024
@@ -30,27 +31,46 @@ def file_format(path: str) -> str:
 
 
 def read_text_table(
-    spark: SparkSession, paths: Sequence[str], entity: Entity, fmt: str | None = None
+    spark: SparkSession,
+    paths: Sequence[str],
+    entity: Entity,
+    fmt: str | None = None,
+    header: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The entity's columns as text, with the file and the row's place in the scan.
-
-    Rows of one file are numbered in file order, so the smaller ``_row`` is
-    the earlier one.  The numbering belongs to this scan: stage the result
-    before using it in more than one plan.
+    """The entity's columns as text, with the file, its time and the row's place in the scan.
+
+    ``header`` gives the order of the columns in CSV files, if it is not the
+    declared one.  Rows of one file are numbered in file order, so the
+    smaller ``_row`` is the earlier one; across files the file's time and
+    path come first.  The numbering belongs to this scan: stage the result
+    before using it in more than one plan.  ``_excess`` is the text of a CSV
+    record with more cells than columns, else null.
     """
     fmt = fmt or file_format(paths[0])
-    reader = spark.read.schema(entity.raw_schema())
     if fmt == "csv":
-        df = reader.options(**CSV_OPTIONS).option("enforceSchema", False).csv(list(paths))
+        names = list(header or entity.names)
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RECORD]])
+        df = (
+            spark.read.schema(schema)
+            .options(**CSV_OPTIONS, enforceSchema=False, columnNameOfCorruptRecord=_RECORD)
+            .csv(list(paths))
+        )
         # a blank CSV cell is an empty text, not a missing value
         cells = [F.coalesce(F.col(n), F.lit("")).alias(n) for n in entity.names]
+        # records that are too short are kept here as well, and have blank cells
+        record = F.rtrim(F.col(_RECORD), F.lit("\r\n"))
+        n_cells = F.size(F.split(F.regexp_replace(record, '"[^"]*"', ""), ","))
+        excess = F.when(n_cells > len(names), record)
     else:
-        df = reader.option("multiLine", True).json(list(paths))
+        df = spark.read.schema(entity.raw_schema()).option("multiLine", True).json(list(paths))
         cells = [F.col(n) for n in entity.names]
+        excess = F.lit(None).cast("string")
     return df.select(
         *cells,
         F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_modification_time").alias(ARRIVED),
         F.monotonically_increasing_id().alias(ROW),
+        excess.alias(EXCESS),
     )
 
 

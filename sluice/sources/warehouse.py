@@ -81,7 +81,7 @@ TABLES: dict[str, str] = {
         total_records bigint, valid_records bigint, quarantined bigint,
         duplicate_count bigint, orphan_count bigint, processed_at timestamp_ntz""",
     "processed_files": """file_path string, file_hash string, status string,
-        processed_at timestamp_ntz, records_loaded bigint, error_msg string""",
+        processed_at timestamp_ntz, seq bigint, records_loaded bigint, error_msg string""",
 }
 
 

@@ -1,5 +1,6 @@
 import csv
 import json
+import os
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -262,3 +263,74 @@ def test_csv_cells_stay_text(spark, tmp_path):
                                              dict(team_id="2", team_name=" a,b ")])
     got = read_text_table(spark, [path], ENTITIES["teams"]).orderBy("_row").collect()
     assert [(r["team_id"], r["team_name"]) for r in got] == [("01", ""), ("2", " a,b ")]
+
+
+def test_first_arrival_wins_across_files_and_formats(spark, with_parents, tmp_path):
+    w = with_parents
+    small = write_json(tmp_path / "1" / "orders.json", orders("a", total_amount=1))
+    large = write_json(tmp_path / "0" / "orders.json",
+                       orders("a", *[f"o{i}" for i in range(500)], total_amount=2))
+    os.utime(small, (1_000_000, 1_000_000))
+    assert ingest(spark, "orders", [large, small], w, "o", DAY).inserted == 501
+    assert str(w.read("fact_order").where("order_id = 'a'").first()["total_amount"]) == "1.00"
+
+    city = dict(city_id=7, city_name="late", country="EG", timezone="x")
+    one = write_csv(tmp_path / "cities.csv", [city])
+    two = write_json(tmp_path / "cities.json", [{**city, "city_name": "early"}])
+    os.utime(two, (1_000_000, 1_000_000))
+    ingest(spark, "cities", [one, two], w, "c", DAY)
+    assert [r["city_name"] for r in w.read("dim_city").collect()] == ["early"]
+
+
+def test_bad_files_do_not_stop_a_load(spark, warehouse, tmp_path):
+    good = write_csv(tmp_path / "a" / "teams.csv", [dict(team_id=1, team_name="A")])
+    turned = write_csv(tmp_path / "b" / "teams.csv", [dict(team_name="B, b", team_id=2)])
+    wide = tmp_path / "c" / "teams.csv"
+    wide.parent.mkdir()
+    wide.write_text('team_id,team_name\n3,C\n4,"D, d",x,y\n5\n6,F,\n7,"G\ng"\n')
+    cut = tmp_path / "d" / "teams.json"
+    cut.parent.mkdir()
+    cut.write_text('[{"team_id": 8, "team_n')
+    other = tmp_path / "e" / "teams.parq"
+    other.parent.mkdir()
+    other.write_bytes(b"\x00\x01")
+    paths = [good, turned, str(wide), str(cut), str(other)]
+    out = ingest(spark, "teams", paths, warehouse, "t", DAY)
+    assert len(out.loaded) == 3 and len(out.failed) == 2
+    got = {r["team_id"]: r["team_name"] for r in warehouse.read("dim_team").collect()}
+    # a short record has blank cells, as a blank cell has always had
+    assert got == {1: "A", 2: "B, b", 3: "C", 5: "", 7: "G\ng"}
+    rows = warehouse.read("quarantine").collect()
+    wide_rows = {json.loads(r["raw_data"])["_excess"] for r in rows if r["rejection_rule"] == "cells"}
+    assert wide_rows == {'4,"D, d",x,y', "6,F,"}
+    assert any(json.loads(r["raw_data"]).get("line") == '[{"team_id": 8, "team_n' for r in rows)
+    states = {r["file_path"].rsplit("/", 2)[1]: r["status"]
+              for r in warehouse.read("processed_files").collect()}
+    assert states == {"a": "success", "b": "success", "c": "success", "d": "failed", "e": "failed"}
+
+
+def test_failed_load_is_recorded_and_later_events_count(spark, warehouse, tmp_path, monkeypatch):
+    path = write_csv(tmp_path / "teams.csv", [dict(team_id=1, team_name="A")])
+    with monkeypatch.context() as m:
+        m.setattr("sluice.plans.ingest.tag", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest(spark, "teams", [path], warehouse, "t1", DAY)
+    event = warehouse.read("processed_files").first()
+    assert (event["status"], event["error_msg"]) == ("failed", "ZeroDivisionError: division by zero")
+    assert ingest(spark, "teams", [path], warehouse, "t2", DAY).inserted == 1
+    # same time: the later load's event is the state
+    assert ingest(spark, "teams", [path], warehouse, "t3", DAY).skipped
+
+
+def test_retry_restores_the_first_of_copies(spark, with_parents, tmp_path):
+    w = with_parents
+    for i in range(4):
+        path = write_json(tmp_path / str(i) / "orders.json",
+                          orders("late", customer_id=2, total_amount=i + 1))
+        ingest(spark, "orders", [path], w, f"o{i}", DAY + timedelta(minutes=i))
+    schema = w.read("dim_customer").schema
+    w.write_load("dim_customer", spark.createDataFrame(
+        [tuple(2 if f.name == "customer_id" else None for f in schema)], schema), "more")
+    got = retry(spark, w, "r", DAY + timedelta(hours=1))
+    assert (got["retried"], got["deleted"]) == (1, 4)
+    assert [str(r["total_amount"]) for r in w.read("fact_order").collect()] == ["1.00"]
