@@ -277,7 +277,9 @@ def read_packages(table: DataFrame, with_payload: bool = False) -> DataFrame:
             int(first) if gone else None, None if gone else payload,
         )
 
-    return table.select("path").repartition("path").mapInArrow(run, schema + ", payload binary" * with_payload)
+    # a set number of tasks: by the size of their paths, all archives would be read in one
+    tasks = max(1, table.sparkSession.sparkContext.defaultParallelism * 4)
+    return table.select("path").repartition(tasks, "path").mapInArrow(run, schema + ", payload binary" * with_payload)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
