@@ -6,8 +6,11 @@ Every cell is read as text, so nothing is lost before validation.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +22,10 @@ CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "encoding": "UT
 FORMATS = ("csv", "json")
 _RECORD = "_record"
 
-#: larger files are fingerprinted by size and time instead of by content
-MAX_CONTENT_BYTES = 512 * 1024 * 1024
+#: larger files are read piece by piece instead of as one cell; the fingerprint is the same
+MAX_CELL_BYTES = 512 * 1024 * 1024
+#: bytes of a piece
+PIECE = 1 << 23
 
 
 def file_format(path: str) -> str:
@@ -83,47 +88,87 @@ def read_untyped(spark: SparkSession, paths: Sequence[str], fmt: str) -> DataFra
     return df
 
 
-def _columns_of(text: Column, fmt: Column) -> Column:
+def _header_columns(text: Column) -> Column:
+    """Column names in the first line of a CSV text."""
     header = F.regexp_replace(F.substring_index(text, "\n", 1), "[﻿\r\"]", "")
-    in_csv = F.when(header == "", F.array().cast("array<string>")).otherwise(F.split(header, ","))
+    return F.when(header == "", F.array().cast("array<string>")).otherwise(F.split(header, ","))
+
+
+def _columns_of(text: Column, fmt: Column) -> Column:
     objects = F.coalesce(
         F.from_json(text, "array<map<string,string>>"),
         F.array(F.from_json(text, "map<string,string>")),
     )
     names = F.flatten(F.transform(F.filter(objects, lambda o: o.isNotNull()), F.map_keys))
-    found = F.when(fmt == "csv", in_csv).otherwise(F.array_distinct(names))
+    found = F.when(fmt == "csv", _header_columns(text)).otherwise(F.array_distinct(names))
     return F.when(text.isNotNull(), found)
 
 
+def _in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """MD5 and first line of files, held one piece at a time."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            scheme, rest = row["path"].split(":", 1)
+            # fixed values: other names of the schemes of one store
+            scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+            if scheme == "file":
+                fs, path = pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+            else:
+                fs, path = pafs.FileSystem.from_uri(f"{scheme}:{rest}")
+            digest, head, in_head = hashlib.md5(), b"", True
+            with fs.open_input_stream(path, compression=None) as file:
+                while piece := file.read(PIECE):
+                    digest.update(piece)
+                    if in_head:
+                        head += piece.split(b"\n", 1)[0]
+                        # no header is longer than a piece
+                        in_head = b"\n" not in piece and len(head) < PIECE
+            row |= {"file_hash": digest.hexdigest(), "header": head.decode("utf-8", "replace")}
+            yield pa.RecordBatch.from_pylist([row])
+
+
 INVENTORY = "path string, file_path string, file_hash string, file_name string, columns array<string>"
 
 
 def inventory(
-    spark: SparkSession, paths: Sequence[str], max_content: int = MAX_CONTENT_BYTES
+    spark: SparkSession, paths: Sequence[str], max_cell: int = MAX_CELL_BYTES
 ) -> DataFrame:
     """One row per file: location, MD5 of its bytes and the column names it holds.
 
-    Files above ``max_content`` bytes are not loaded into one cell: their
-    fingerprint is that of size and modification time, and their column
-    names are left null.
+    The MD5 is that of all bytes at every size.  Files above ``max_cell``
+    bytes are not loaded into one cell but read in pieces by a task of their
+    own, which takes a scheme that pyarrow knows.  Of those, JSON files have
+    null column names: only reading all their objects tells them.
     """
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
     )
-    small = F.col("length") <= max_content
-    content = F.when(small, F.col("content"))
-    name = F.col("_metadata.file_name")
-    return found.select(
+    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    small = found.where(F.col("length") <= max_cell).select(
         "path",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.when(small, F.md5(content))
-        .otherwise(F.md5(F.concat_ws("|", "length", "modificationTime")))
-        .alias("file_hash"),
+        path.alias("file_path"),
+        F.md5("content").alias("file_hash"),
         name.alias("file_name"),
-        _columns_of(content.cast("string"), F.lower(F.regexp_extract(name, r"([^.]*)$", 1))).alias(
-            "columns"
-        ),
+        _columns_of(F.col("content").cast("string"), _suffix(name)).alias("columns"),
     )
+    named = found.where(F.col("length") > max_cell).select(
+        "path", path.alias("file_path"), name.alias("file_name")
+    )
+    read = named.mapInArrow(
+        _in_pieces, "path string, file_path string, file_name string, file_hash string, header string"
+    )
+    large = read.select(
+        "path",
+        "file_path",
+        "file_hash",
+        "file_name",
+        F.when(_suffix(F.col("file_name")) == "csv", _header_columns(F.col("header"))).alias("columns"),
+    )
+    return small.unionByName(large)
+
+
+def _suffix(name: Column) -> Column:
+    return F.lower(F.regexp_extract(name, r"([^.]*)$", 1))
 
 
 def batch_plan(spark: SparkSession, folder: str) -> list[tuple[Entity, list[str]]]:

@@ -1,4 +1,5 @@
 import csv
+import hashlib
 import json
 import os
 from datetime import datetime, timedelta
@@ -145,8 +146,14 @@ def test_single_object_and_empty_files(spark, with_parents, tmp_path):
     assert list(failed) == [f"file:{empty}"]
     names = inventory(spark, [one]).first()["columns"]
     assert sorted(names) == sorted(ENTITIES["orders"].names)
-    big = inventory(spark, [one], max_content=1).first()
-    assert big["columns"] is None and len(big["file_hash"]) == 32
+    small, big = (inventory(spark, [one], max_cell=n).first() for n in (1 << 20, 1))
+    assert big["columns"] is None and big["file_hash"] == small["file_hash"]
+    text = tmp_path / "a b" / "orders.csv"
+    text.parent.mkdir()
+    text.write_bytes(b'\xef\xbb\xbf"order_id",total_amount\r\n' + b"1,2\r\n" * 3)
+    small, big = (inventory(spark, [f"file:{text}"], max_cell=n).first() for n in (1 << 20, 1))
+    assert big == small and big["columns"] == ["order_id", "total_amount"]
+    assert big["file_hash"] == hashlib.md5(text.read_bytes()).hexdigest()
 
 
 def test_retry_restores_promotes_and_waits(spark, with_parents, tmp_path):
