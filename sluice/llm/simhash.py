@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import slices, text_of
 from sluice.llm.components import components
+from sluice.llm.near_copies import near_copies
 from sluice.session import stage
 
 #: words of a shingle, bits that linked fingerprints may differ in
@@ -109,12 +110,14 @@ def hex_of(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """The documents without all but the smallest id of each near-duplicate group.
+    """The documents without all but the smallest id of each group of near copies.
 
-    Rows that share the kept id, and those without an id, stay; of rows that
-    are alike in id and text one stays.
+    Groups are those of ``near_copies``: five-word shingles alike in 0.8 or
+    more.  The settings of fingerprints above are those of the digest query.
     """
-    classes = near_duplicates(docs, id_column)
-    drop = classes.where("id <> component_id").select(F.col("id").alias("_drop")).distinct()
+    classes = stage(near_copies(docs, id_column), "copies")
+    least = classes.groupBy("node").agg(F.min("id").alias("least"))
+    drop = classes.join(stage(least, "least"), "node").where("id <> least")
+    drop = drop.select(F.col("id").alias("_drop")).distinct()
     kept = docs.join(stage(drop, "drop"), F.col(id_column) == F.col("_drop"), "left_anti")
     return kept
