@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import slices, text_of
 from sluice.llm.components import components
-from sluice.llm.near_copies import near_copies
+from sluice.llm.near_copies import digest_of, near_copies
 from sluice.session import stage
 
 #: words of a shingle, bits that linked fingerprints may differ in
@@ -110,14 +110,21 @@ def hex_of(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """The documents without all but the smallest id of each group of near copies.
+    """Exactly one row of each group of near copies: one with the smallest id, a null id only if all are null.
 
     Groups are those of ``near_copies``: five-word shingles alike in 0.8 or
     more.  The settings of fingerprints above are those of the digest query.
+    Rows are told apart by id and text, so rows of one id with other texts
+    are decided on their own; of rows alike in both one is taken.
     """
     classes = stage(near_copies(docs, id_column), "copies")
-    least = classes.groupBy("node").agg(F.min("id").alias("least"))
-    drop = classes.join(stage(least, "least"), "node").where("id <> least")
-    drop = drop.select(F.col("id").alias("_drop")).distinct()
-    kept = docs.join(stage(drop, "drop"), F.col(id_column) == F.col("_drop"), "left_anti")
-    return kept
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
+    best = stage(classes.groupBy("node").agg(F.min(rank).alias("best")), "best")
+    taken = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("digest") == F.col("best.digest"))
+    marks = classes.join(best, "node").withColumn("taken", taken).where("not taken or copies > 1")
+    marks = stage(marks.select(F.col("id").alias("_id"), F.col("digest").alias("_of"), "taken"), "marks")
+    keyed = docs.withColumn("_digest", digest_of(text_of()))
+    same = F.col(id_column).cast("long").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_of"))
+    single = keyed.join(marks, same, "left_anti")
+    repeated = keyed.join(marks.where("taken"), same, "left_semi").dropDuplicates([id_column, "_digest"])
+    return single.union(repeated).select(*docs.columns)

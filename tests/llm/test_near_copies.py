@@ -86,3 +86,22 @@ def test_shingles_and_keys(n):
     text = " ".join(f"k{i}" for i in range(n))
     assert len(near_copies.shingles(text)) == len(grams(text))
     assert near_copies.keys_of(near_copies.shingles(text)) == near_copies.keys_of(near_copies.shingles(f" {text.upper()}\n"))
+
+
+def test_one_row_of_each_group_stays(spark):
+    def text(word):
+        return " ".join(f"{word}{i}" for i in range(100))
+
+    rows = [
+        (1, text("a"), "s"),
+        (5, text("a"), "t"), (5, text("b"), "s"),  # a reused id: one text is a copy, the other is not
+        (7, text("c"), "s"), (7, text("c"), "s"), (8, text("c"), "s"),  # repeated rows
+        (None, text("d"), "s"), (None, text("d"), "s"),  # copies without an id
+        (None, text("a"), "s"), (None, text("e"), "s"),
+        (9, text("f"), "s"), (9, text("f") + " more", "s"),  # near copies of one id
+        (11, None, "s"), (12, " ", "s"),
+    ]
+    kept = simhash.keep_one(spark.createDataFrame(rows, DOCS).repartition(3))
+    got = sorted((str(r["doc_id"]), (r["text"] or "-").split(" ")[0]) for r in kept.collect())
+    assert got == sorted([("1", "a0"), ("5", "b0"), ("7", "c0"), ("None", "d0"), ("None", "e0"), ("9", "f0"), ("11", "-")])
+    assert kept.columns == ["doc_id", "text", "source"]
