@@ -34,12 +34,12 @@ def cut(ids: bytes, capacity: int = CAPACITY) -> list[tuple[int, bytes]]:
     return [(a, ids[4 * a : 4 * b]) for a, b in zip(bounds, bounds[1:])]
 
 
-def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """Token pieces of every row, each with a random number that deals it into a block."""
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path, added_tokens).encode
         end = np.array([end_id], dtype="<u4").tobytes()
         deal = random.Random(TaskContext.get().partitionId()).random
         for batch in slices(batches, "text"):
@@ -259,20 +259,20 @@ def place(found: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, island
     return first.where(F.col("fill") >= int(LOOSE * capacity)).unionByName(second).drop("fill").unionByName(whole)
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, added_tokens: bool = False) -> DataFrame:
     """One row per piece of every document: its place in a sequence of at most ``capacity`` tokens.
 
     A null text is empty: its only token is the end id.  Rows of one id are
     packed one by one; a null id stays null.  Columns: doc_id, piece, start,
     length, ids_crc32, sequence_id, offset.  An empty table gives no rows.
     """
-    cuts = stage(pieces(docs, tokenizer, capacity, end_id).drop("ids"), "pieces")
+    cuts = stage(pieces(docs, tokenizer, capacity, end_id, added_tokens=added_tokens).drop("ids"), "pieces")
     return place(cuts, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def sequences(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def sequences(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, added_tokens: bool = False) -> DataFrame:
     """The packed sequences themselves: sequence_id, ids (array of int), and the document of each run."""
-    cuts = stage(pieces(docs, tokenizer, capacity, end_id, with_ids=True), "pieces")
+    cuts = stage(pieces(docs, tokenizer, capacity, end_id, with_ids=True, added_tokens=added_tokens), "pieces")
     placed = place(cuts, capacity)
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -134,7 +134,7 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op6_rans_token_files")
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.round_trip(table(spark, sf_dir, "documents"))
+    return token_files.round_trip(table(spark, sf_dir, "documents"), added_tokens=True)
 
 
 _OP7_SQL = f"""
@@ -169,7 +169,7 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op8_genetic_packing")
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), added_tokens=True)
 
 
 @_query("op9_warc_packages")

@@ -154,11 +154,11 @@ NULL_ID = -(1 << 63)
 _BLOCKS = "shard int, block int, docs binary, counts binary, ids binary"
 
 
-def _id_blocks(docs: DataFrame, tokenizer: str, block: int, end_id: int) -> DataFrame:
+def _id_blocks(docs: DataFrame, tokenizer: str, block: int, end_id: int, added_tokens: bool) -> DataFrame:
     """Runs of documents in ascending id order with their ids, 16 bits each where they fit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, added_tokens).encode
         end = np.array([end_id], dtype="<u4").tobytes()
         kind = id_kind(tokenizer)
         shard, number = TaskContext.get().partitionId(), 0
@@ -194,7 +194,7 @@ def id_kind(tokenizer: str) -> str:
     return "<u2" if encoder(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, block: int = BLOCK, end_id: int = END_ID) -> DataFrame:
+def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, block: int = BLOCK, end_id: int = END_ID, added_tokens: bool = False) -> DataFrame:
     """Encode the texts into files below ``folder`` and return the table of their blocks.
 
     The blocks' table (shard, block, path, place, size, n_docs, n_tokens) and
@@ -205,7 +205,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, block:
     path = tokenizer or default_tokenizer()
     kind = id_kind(path)
     n_ids = max(encoder(path).tokenizer.get_vocab_size(), end_id + 1)
-    blocks = stage(_id_blocks(docs, path, block, end_id), "id-blocks")
+    blocks = stage(_id_blocks(docs, path, block, end_id, added_tokens), "id-blocks")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_ids, dtype=np.int64)
@@ -298,12 +298,12 @@ def read_ids(spark, folder: str, with_ids: bool = False) -> DataFrame:
     return spread.mapInArrow(read, schema)
 
 
-def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str | None = None, added_tokens: bool = False) -> DataFrame:
     """Write and read back: doc_id, start, n_tokens, ids_crc32 of every row.
 
     A null text is empty: its only id is the end id.  Rows of one id follow
     each other in any order; null ids come first and stay null.
     """
     folder = scratch_path(docs.sparkSession, "token-files")
-    write_ids(docs, folder, tokenizer)
+    write_ids(docs, folder, tokenizer, added_tokens=added_tokens)
     return read_ids(docs.sparkSession, folder)

@@ -28,14 +28,20 @@ class Encoder:
     while they recur: of two generations of at most ``max_pieces`` each the
     older one is forgotten.  Texts with any other white space are given to the
     tokenizer whole.  Empty and null texts have no ids.
+
+    With ``added_tokens`` a text that holds the content of an added token, as
+    of <|endoftext|>, gets the id of it there, as in a plain call of the
+    tokenizer, and is given to it whole; else the content is text like any other.
     """
 
-    def __init__(self, path: str, max_pieces: int = 400_000):
+    def __init__(self, path: str, max_pieces: int = 400_000, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        contents = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
+        self.added = re.compile("|".join(map(re.escape, contents))) if contents else None
         self.max_pieces = max_pieces
         #: a piece without a line feed stands for itself after a blank
         self.known: dict[str, bytes] = {}
@@ -88,7 +94,7 @@ class Encoder:
         seen: set[str] = set()
         for text in texts:
             pieces = None
-            if text and self._plain(text):
+            if text and self._plain(text) and not (self.added and self.added.search(text)):
                 # the line feed before the text is taken off its ids again
                 pieces = text.replace("\n", " \n").split(" ")
                 pieces[0] = "\n" + pieces[0]
@@ -102,11 +108,11 @@ class Encoder:
         ]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
     """This process's encoder for a vocabulary file; its pieces serve later tasks too."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, added_tokens) not in _encoders:
+        _encoders[path, added_tokens] = Encoder(path, added_tokens=added_tokens)
+    return _encoders[path, added_tokens]
