@@ -17,6 +17,9 @@ from sluice.session import stage
 #: a subtree is part of the site's template if this many different pages of a host have it,
 #: and at least this share of them
 MIN_PAGES, MIN_SHARE = 5, 0.05
+#: on pages without a main part, the share for subtrees with words outside links
+TEXT_SHARE = 0.5
+WORD = re.compile(r"[^\W\d_]{2,}")
 #: fixed values: elements without an end tag, without text, that begin a block of text
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template head title svg math canvas iframe object audio video select option datalist textarea button".split())
@@ -44,12 +47,13 @@ TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption".
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "mark")
+    __slots__ = ("tag", "attrs", "children", "mark", "words")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag, self.attrs = tag, attrs
         self.children: list[Node | str] = []
         self.mark = b""
+        self.words = 0
 
 
 class Tree(HTMLParser):
@@ -165,22 +169,41 @@ def main_parts(root: Node) -> list[Node]:
     return found["article"] or found["main"] or [root]
 
 
-def candidates(root: Node) -> list[bytes]:
-    """Marks of the subtrees that a template may consist of.
+def set_words(root: Node) -> None:
+    """The number of words below each element that stand outside links and silent elements."""
+    for node in reversed(_order(root)):
+        node.words = 0
+        if node.tag != "a" and node.tag not in SILENT:
+            node.words = sum(c.words if isinstance(c, Node) else len(WORD.findall(c)) for c in node.children)
+
+
+def _kept(node: Node) -> bool:
+    """Whether an element inside a main part is its text: text blocks, inline elements, containers with words outside links."""
+    return node.tag in TEXT or node.tag not in BLOCKS or node.words > 0
+
 
-    Text blocks inside the article elements of a page are none: pages may
-    quote one passage, and copies of a page share all their text.
+def candidates(root: Node) -> dict[bytes, bool]:
+    """Marks of the subtrees that a template may consist of; true if it takes TEXT_SHARE of the pages.
+
+    Inside the main parts of a page only containers without words of their
+    own, as lists of links, are candidates: pages may quote one passage, and
+    copies of a page share all their text.  A page without main parts gives
+    no such sign; there a subtree with words has to recur on a large share of
+    the pages, and one with half of the page's words or more is no candidate.
     """
     parts = main_parts(root)
     inside = {id(n) for part in parts if part is not root for n in _order(part)}
-    kept = []
+    found: dict[bytes, bool] = {}
     for node in _order(root)[1:]:
         if node.tag in ("html", "body", "head") or node.tag in SILENT or _is_main(node):
             continue
-        if id(node) in inside and (node.tag in TEXT or node.tag not in BLOCKS):
+        if id(node) in inside and _kept(node) and not unwanted(node, True):
+            continue
+        much = parts[0] is root and node.words > 0 and not unwanted(node, False)
+        if much and 2 * node.words >= root.words:
             continue
-        kept.append(node.mark)
-    return kept
+        found[node.mark] = found.get(node.mark, False) or much
+    return found
 
 
 def main_text(root: Node, template: frozenset[bytes]) -> str:
@@ -203,7 +226,7 @@ def main_text(root: Node, template: frozenset[bytes]) -> str:
             elif isinstance(item, str):
                 held.append(item)
             else:
-                if item is not part and (unwanted(item, True) or (item.mark in template and not _is_main(item))):
+                if item is not part and (unwanted(item, True) or (item.mark in template and not _is_main(item) and (part is root or not _kept(item)))):
                     held.append(" ")
                     continue
                 if item.tag == "br":
@@ -231,25 +254,29 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
-            hosts, marks, whole = [], [], []
+            hosts, marks, whole, much = [], [], [], []
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 root = tree(html)
                 set_marks(root)
-                found = set(candidates(root))
+                set_words(root)
+                found = candidates(root)
                 # the page itself counts under an empty mark
                 page = hashlib.blake2b(b"".join(n.mark for n in main_parts(root)), digest_size=8).digest()
                 for mark in (b"", *found):
+                    much.append(found.get(mark, False))
                     hosts.append(host)
                     marks.append(mark)
                     whole.append(page)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(marks, pa.binary()), pa.array(whole, pa.binary())], ["host", "mark", "page"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(marks, pa.binary()), pa.array(whole, pa.binary()), pa.array(much, pa.bool_())], ["host", "mark", "page", "much"])
 
     slim = pages.select(host_of(F.col("url")).alias("host"), text_of("html").alias("html"))
-    seen = slim.mapInArrow(run, "host string, mark binary, page binary")
+    seen = slim.mapInArrow(run, "host string, mark binary, page binary, much boolean")
     # one row for each different page of a host and subtree
-    counted = stage(seen.distinct().groupBy("host", "mark").agg(F.count("*").alias("n")).where(f"n >= {min_pages}"), "subtrees")
+    seen = seen.groupBy("host", "mark", "page").agg(F.max("much").alias("much"))
+    counted = seen.groupBy("host", "mark").agg(F.count("*").alias("n"), F.max("much").alias("much"))
+    counted = stage(counted.where(f"n >= {min_pages}"), "subtrees")
     pages_of = counted.where("mark = X''").select("host", F.col("n").alias("pages"))
-    return counted.where("mark <> X''").join(pages_of, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "mark")
+    return counted.where("mark <> X''").join(pages_of, "host").where(F.col("n") >= F.when(F.col("much"), max(min_share, TEXT_SHARE)).otherwise(min_share) * F.col("pages")).select("host", "mark")
 
 
 def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -272,6 +299,7 @@ def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
                 root = tree(html)
                 if template:
                     set_marks(root)
+                    set_words(root)
                 texts.append(main_text(root, frozenset(template or ())))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
