@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import ann, extraction, mixing, packing, quality, secret_scan, simhash, substring, token_files, warc
+from sluice.llm import ann, divergence, extraction, importance, line_dedup, mixing, packing, quality
+from sluice.llm import secret_scan, simhash, substring, token_files, warc
 from sluice.llm.common import table
 
 QUERIES: dict = {}
@@ -181,3 +182,146 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+_OP11_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), o AS (
+  SELECT r, lang, source, unnest(w) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*)::HUGEINT AS n FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}
+), lt AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM k GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY lang, source, term
+), gn AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source
+), p AS (
+  SELECT gn.lang, gn.source, k.term, coalesce(c.n, 0) AS n,
+         1 + {divergence.WHOLE}::HUGEINT * (coalesce(c.n, 0) + {divergence.ADDED}) // (gn.n + {divergence.ADDED} * lt.v) AS p,
+         1 + {divergence.WHOLE}::HUGEINT * (k.n + {divergence.ADDED}) // (lt.n + {divergence.ADDED} * lt.v) AS q
+  FROM gn JOIN lt USING (lang) JOIN k USING (lang)
+  LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = k.term
+), s AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM parts
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked
+WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
+
+@_query("op11_divergence_audit", _OP11_SQL)
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+# the checksum goes through a text byte by byte: each step is a join with the table of 256 remainders
+_OP12_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark
+), df AS (
+  SELECT r, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS f
+  FROM d, range(1, {importance.ORDER + 1}) t(k) WHERE len(w) >= k
+), bf AS (
+  SELECT unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS f
+  FROM b, range(1, {importance.ORDER + 1}) t(k) WHERE len(w) >= k
+), x AS (
+  SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM df UNION SELECT f FROM bf)
+), m AS (
+  SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)),
+                        lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM range(256) t(i)
+), step(f, h, pos, c) AS (
+  SELECT f, h, 0, 4294967295::BIGINT FROM x
+  UNION ALL
+  SELECT f, h, pos + 1, xor(c >> 8, v)
+  FROM step JOIN m ON m.i = xor(c & 255, ('0x' || substr(h, 2 * pos + 1, 2))::BIGINT)
+  WHERE 2 * pos < length(h)
+), bucket AS (
+  SELECT f, (xor(c, 4294967295) % {importance.BUCKETS})::INT AS bucket FROM step WHERE 2 * pos = length(h)
+), s AS (
+  SELECT bucket, count(*) AS n FROM df JOIN bucket USING (f) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS n FROM bf JOIN bucket USING (f) GROUP BY bucket
+), gain AS (
+  SELECT e.i AS bucket,
+         floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM s), 0)::DOUBLE + {importance.BUCKETS})
+           / ((coalesce(s.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0)::DOUBLE + {importance.BUCKETS}))))::BIGINT AS gain
+  FROM range({importance.BUCKETS}) e(i) LEFT JOIN s ON s.bucket = e.i LEFT JOIN t ON t.bucket = e.i
+), w AS (
+  SELECT r, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM df JOIN bucket USING (f) JOIN gain USING (bucket) GROUP BY r
+), scored AS (
+  SELECT doc_id, len(d.w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{importance.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+           / 4294967296.0::DOUBLE))))::BIGINT AS score
+  FROM d LEFT JOIN w USING (r)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= {importance.MIN_WORDS} ORDER BY score DESC, doc_id) AS place,
+         count(*) OVER (PARTITION BY n_words >= {importance.MIN_WORDS}) AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_words >= {importance.MIN_WORDS} AND place <= {importance.DRAW} * n // {importance.OF} THEN place::BIGINT END AS rank
+FROM placed
+"""
+
+
+@_query("op12_importance_resampling", _OP12_SQL)
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_LINE_KEY = (
+    "trim(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+)
+
+_OP13_SQL = f"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), x AS (
+  SELECT r, doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS p FROM t
+), k AS (
+  SELECT r, doc_id, l, p, {_LINE_KEY} AS key FROM x
+), f AS (
+  SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= {line_dedup.MIN_CHARS}
+  GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}
+), g AS (
+  SELECT r, l, p, last IS NOT NULL AND last IS DISTINCT FROM doc_id AS gone FROM k LEFT JOIN f USING (key)
+), s AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+         coalesce(string_agg(l, chr(10) ORDER BY p) FILTER (NOT gone), '') AS kept
+  FROM g GROUP BY r
+)
+SELECT doc_id, n_lines::BIGINT AS n_lines, n_dropped::BIGINT AS n_dropped, sha256(kept) AS kept_sha256
+FROM t JOIN s USING (r)
+"""
+
+
+@_query("op13_perfect_hash_lines", _OP13_SQL)
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
