@@ -16,9 +16,10 @@ from sluice.functions.times import is_met, older_than, seconds_between
 SLA_VIEW = "v_ticket_sla_performance"
 
 
-def sla_performance(tickets: DataFrame) -> DataFrame:
-    """Per ticket: were first response and resolution in time."""
+def sla_performance(tickets: DataFrame, *keep: str) -> DataFrame:
+    """Per ticket: were first response and resolution in time; ``keep`` names more columns."""
     return tickets.select(
+        *keep,
         "ticket_id",
         "agent_id",
         "created_at",
@@ -54,7 +55,7 @@ def _since(df: DataFrame, column: str, as_of: datetime | None, hours: int) -> Da
     )
 
 
-def _pct(part, whole):
+def percent(part, whole):
     return F.round(F.lit(100.0) * part / F.nullif(whole, F.lit(0)), 2)
 
 
@@ -67,7 +68,7 @@ def sla_compliance_by_agent(performance: DataFrame, day: date | None = None) ->
             F.count("*").alias("total_tickets"),
             first.alias("first_response_met"),
             F.sum(F.col("is_resolution_met").cast("int")).alias("resolution_met"),
-            _pct(first, F.count("*")).alias("first_response_rate_pct"),
+            percent(first, F.count("*")).alias("first_response_rate_pct"),
         )
         .orderBy(F.desc("first_response_rate_pct"), "agent_id")
     )
@@ -136,7 +137,7 @@ def duplicate_metrics(
         .groupBy("file_name")
         .agg(
             dupes.alias("total_dupes"),
-            _pct(dupes, F.sum("total_records")).alias("dup_rate_pct"),
+            percent(dupes, F.sum("total_records")).alias("dup_rate_pct"),
         )
         .orderBy(F.desc("total_dupes"), "file_name")
     )

@@ -6,6 +6,7 @@ A load replaces its own sub-folder, so replaying it changes nothing.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,9 @@ TABLES: dict[str, str] = {
     "quarantine": """quarantine_id string, source_file string, source_table string,
         rejection_reason string, rejection_stage string, rejection_rule string,
         raw_data string, quarantined_at timestamp_ntz""",
+    # per load of tickets, day and agent; added up by reports
+    "sla_agent_day": """agent_id int, day date, total_tickets bigint, first_response_met bigint,
+        resolution_met bigint""",
     # what retries did with quarantine rows: retry, resolved or promoted
     "quarantine_action": "quarantine_id string, action string, acted_at timestamp_ntz",
     "true_orphan": """quarantine_id string, source_file string, source_table string,
@@ -146,3 +150,21 @@ class Warehouse:
         return self.spark.read.schema(table_schema(table)).parquet(
             f"{self.path(table)}/{BATCH_ID}={batch_id}"
         )
+
+    def read_loads(self, table: str, batch_ids: Sequence[str]) -> DataFrame:
+        """The rows of some loads with the load they are of; no other folder is listed or read."""
+        schema = table_schema(table).add(BATCH_ID, "string")
+        if not batch_ids:
+            return self.spark.createDataFrame([], schema)
+        folders = [f"{self.path(table)}/{BATCH_ID}={b}" for b in batch_ids]
+        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*folders)
+
+    def loads(self, table: str) -> list[str]:
+        """The names of a table's loads, in order; folder names only."""
+        files = self.spark._jvm.org.apache.hadoop.fs
+        root = files.Path(self.path(table))
+        found = root.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(root)
+        names = [f.getPath().getName() for f in found if f.isDirectory()]
+        mark = f"{BATCH_ID}="
+        named = (n.removeprefix(mark) for n in names if n.startswith(mark))
+        return sorted(n for n in named if n != "__HIVE_DEFAULT_PARTITION__")
