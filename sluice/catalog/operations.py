@@ -170,6 +170,18 @@ def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RETRY_AT = datetime(1999, 1, 1)
 
+def missing_sql(customers: str) -> str:
+    """The first foreign key of a raw order that has no parent, given which customers are there."""
+    return f"""CASE
+    WHEN NOT {is_null('customer_id')} AND {number('customer_id')} NOT IN
+      (SELECT CAST(c_custkey AS DOUBLE) FROM customer WHERE {customers})
+      THEN 'customer_id'
+    WHEN NOT {is_null('driver_id')} AND {number('driver_id')} NOT IN
+      (SELECT CAST(s_suppkey AS DOUBLE) FROM supplier) THEN 'driver_id'
+    WHEN NOT {is_null('restaurant_id')} AND {number('restaurant_id')} NOT IN
+      (SELECT CAST(p_partkey AS DOUBLE) FROM part) THEN 'restaurant_id' END"""
+
+
 _RETRY = f"""WITH {quarantine_cte('orders')},
 actions AS (SELECT quarantine_id, 'retry' AS action, TIMESTAMP '{RETRY_AT}' AS acted_at
       FROM q CROSS JOIN range({MAX_RETRIES}) WHERE source_file LIKE '%-03/%'
@@ -180,14 +192,7 @@ history AS (SELECT quarantine_id, count(*) FILTER (WHERE action = 'retry') AS n,
     bool_or(action <> 'retry') AS closed FROM actions GROUP BY 1),
 op AS (SELECT q.*, CAST(coalesce(n, 0) AS INTEGER) AS retry_count, last_retry_at
     FROM q LEFT JOIN history USING (quarantine_id) WHERE NOT coalesce(closed, false)),
-fk AS (SELECT *, CASE
-    WHEN NOT {is_null('customer_id')} AND {number('customer_id')} NOT IN
-      (SELECT CAST(c_custkey AS DOUBLE) FROM customer WHERE c_custkey % 100 <> 0)
-      THEN 'customer_id'
-    WHEN NOT {is_null('driver_id')} AND {number('driver_id')} NOT IN
-      (SELECT CAST(s_suppkey AS DOUBLE) FROM supplier) THEN 'driver_id'
-    WHEN NOT {is_null('restaurant_id')} AND {number('restaurant_id')} NOT IN
-      (SELECT CAST(p_partkey AS DOUBLE) FROM part) THEN 'restaurant_id' END AS missing FROM op),
+fk AS (SELECT *, {missing_sql('c_custkey % 100 <> 0')} AS missing FROM op),
 decided AS (SELECT *,
     CASE WHEN rejection_stage = 'orphan' THEN missing ELSE rejection_stage END AS unresolved_fk,
     CASE WHEN rejection_stage <> 'orphan' THEN CASE WHEN quarantined_at <

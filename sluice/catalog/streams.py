@@ -1,14 +1,18 @@
-"""Queries that run streams over the supplied tables: waiting orphans, status moves, kept figures."""
+"""Queries that keep state over the supplied tables: waiting orphans, status moves, kept figures, open rows."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.catalog.fixtures import STATUS_OF_EVENT, _pick, table
+from sluice.catalog.operations import missing_sql, quarantine_cte, quarantine_of
 from sluice.catalog.registry import register
 from sluice.catalog.star import _compliance_sql, tickets
 from sluice.plans.dims import conform
+from sluice.plans.open_set import retry_arrivals
 from sluice.plans.retry import PROMOTED, RESOLVED, WAITING
 from sluice.session import scratch_path
 from sluice.sources.warehouse import Warehouse
@@ -170,3 +174,52 @@ def sla_compliance_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
         figures.keep_figures(spark, warehouse, checkpoint).awaitTermination()
     report = figures.compliance(warehouse.read(figures.TABLE))
     return report.withColumn("agent_id", F.col("agent_id").cast("bigint"))
+
+
+# ------------------------------------------------- retry by arrivals
+
+#: two runs and the hours after which an orphan is given up; more customers come between the runs
+RUNS, GIVEN_UP = (datetime(1996, 1, 1), datetime(1997, 1, 1)), 24 * 730
+THERE = ("c_custkey % 50 <> 0", "c_custkey % 100 <> 0")
+
+
+def _outcome_sql(n: int, missing: str) -> str:
+    old = f"quarantined_at < TIMESTAMP '{RUNS[n]}' - INTERVAL '{GIVEN_UP}' HOUR"
+    return f"""CASE WHEN rejection_stage = 'orphan' AND {missing} IS NULL THEN '{RESOLVED}'
+        WHEN {old} THEN '{PROMOTED}' END"""
+
+
+@register(
+    "retry_by_arrivals",
+    f"""WITH {quarantine_cte('orders')},
+    met AS (SELECT *, {missing_sql(THERE[0])} AS m1, {missing_sql(THERE[1])} AS m2 FROM q),
+    runs AS (SELECT *, {_outcome_sql(0, 'm1')} AS o1, {_outcome_sql(1, 'm2')} AS o2 FROM met)
+    SELECT quarantine_id, rejection_stage, coalesce(o1, o2, 'open') AS outcome,
+      CASE WHEN o1 IS NOT NULL THEN CAST(TIMESTAMP '{RUNS[0]}' AS DATE) WHEN o2 IS NOT NULL THEN CAST(TIMESTAMP '{RUNS[1]}' AS DATE) END AS acted_on,
+      CASE WHEN coalesce(o1, o2) = '{PROMOTED}' THEN CASE WHEN rejection_stage <> 'orphan' THEN rejection_stage
+        WHEN o1 IS NOT NULL THEN m1 ELSE m2 END END AS unresolved_fk FROM runs""",
+)
+def retry_by_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected orders after two runs of the retry that meets new parents only."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse")).create()
+
+    def load(name: str, source: str, key: str, column: str, where: str, batch: str) -> None:
+        rows = table(spark, sf_dir, source).where(where).selectExpr(f"CAST({key} AS INT) AS {column}")
+        warehouse.write_load(name, conform(rows, name), batch)
+
+    load("dim_customer", "customer", "c_custkey", "customer_id", THERE[0], "first")
+    load("dim_driver", "supplier", "s_suppkey", "driver_id", "true", "first")
+    load("dim_restaurant", "part", "p_partkey", "restaurant_id", "true", "first")
+    warehouse.write_load("quarantine", quarantine_of(spark, sf_dir, "orders"), "orders")
+    retry_arrivals(spark, warehouse, "one", RUNS[0], orphan_hours=GIVEN_UP)
+    load("dim_customer", "customer", "c_custkey", "customer_id", f"{THERE[1]} AND NOT ({THERE[0]})", "more")
+    retry_arrivals(spark, warehouse, "two", RUNS[1], orphan_hours=GIVEN_UP)
+    acted = warehouse.read("quarantine_action").select(
+        "quarantine_id", "action", F.to_date("acted_at").alias("acted_on")
+    )
+    lost = warehouse.read("true_orphan").select("quarantine_id", "unresolved_fk")
+    rows = warehouse.read("quarantine").select("quarantine_id", "rejection_stage")
+    return rows.join(acted, "quarantine_id", "left").join(lost, "quarantine_id", "left").select(
+        "quarantine_id", "rejection_stage", F.coalesce("action", F.lit("open")).alias("outcome"),
+        "acted_on", "unresolved_fk",
+    )

@@ -90,6 +90,24 @@ def raw_key(entity: Entity, name: str) -> tuple[Column, Column, bool]:
     return normal_id(F.when(is_set, F.col(name))), is_set, True
 
 
+def _raw_edges(
+    df: DataFrame, entity: Entity, parents: Mapping[str, DataFrame]
+) -> tuple[DataFrame, list[tuple[str, str, Column, Column]]]:
+    """Adds a flag for each enforced foreign key; (column, parent, comparable key, does not resolve)."""
+    edges = []
+    for i, edge in enumerate(entity.foreign_keys):
+        key, is_set, as_text = raw_key(entity, edge.column)
+        parent_key = ENTITIES[edge.entity].key
+        df = flag_missing(df, key, parents[edge.entity], parent_key, f"_missing_{i}", as_text)
+        broken = F.col(f"_missing_{i}") | (is_set & key.isNull())
+        edges.append((edge.column, edge.entity, key, broken))
+    return df, edges
+
+
+def _without_flags(df: DataFrame, entity: Entity) -> DataFrame:
+    return df.drop(*[f"_missing_{i}" for i in range(len(entity.foreign_keys))])
+
+
 def flag_raw_orphans(
     df: DataFrame, entity: Entity, parents: Mapping[str, DataFrame], into: str
 ) -> DataFrame:
@@ -97,17 +115,35 @@ def flag_raw_orphans(
 
     ``parents`` maps entity names to tables that have the entity's key column.
     """
-    flags = []
-    for i, edge in enumerate(entity.foreign_keys):
-        key, is_set, as_text = raw_key(entity, edge.column)
-        parent_key = ENTITIES[edge.entity].key
-        df = flag_missing(df, key, parents[edge.entity], parent_key, f"_missing_{i}", as_text)
-        broken = F.col(f"_missing_{i}") | (is_set & key.isNull())
-        flags.append(F.when(broken, F.lit(edge.column)))
+    df, edges = _raw_edges(df, entity, parents)
+    flags = [F.when(broken, F.lit(column)) for column, _, _, broken in edges]
     name = F.coalesce(*flags) if flags else F.lit(None).cast("string")
-    return df.withColumn(into, name).drop(
-        *[f"_missing_{i}" for i in range(len(entity.foreign_keys))]
-    )
+    return _without_flags(df.withColumn(into, name), entity)
+
+
+#: a foreign key that does not resolve; a key that no parent can have is null
+MISSING = "array<struct<edge:string,parent:string,key:string>>"
+
+
+def with_missing_keys(
+    df: DataFrame, entity: Entity, parents: Mapping[str, DataFrame], into: str
+) -> DataFrame:
+    """All enforced foreign keys of raw rows that do not resolve, in the declared order (MISSING)."""
+    df, edges = _raw_edges(df, entity, parents)
+    every = [
+        F.when(broken, F.struct(F.lit(column).alias("edge"), F.lit(parent).alias("parent"),
+                                key.cast("string").alias("key")))
+        for column, parent, key, broken in edges
+    ]
+    found = F.array_compact(F.array(*every)) if every else F.array()
+    return _without_flags(df.withColumn(into, found.cast(MISSING)), entity)
+
+
+def arrived_keys(entity: Entity, rows: DataFrame) -> DataFrame:
+    """(parent, key) of rows of a parent's table, in the form that ``with_missing_keys`` gives."""
+    key = entity.key
+    known = parent_keys(rows, key, as_text=entity.column(key).dtype not in ("int", "float"))
+    return known.select(F.lit(entity.name).alias("parent"), F.col("_pk").cast("string").alias("key"))
 
 
 def count_edge(

@@ -77,6 +77,8 @@ TABLES: dict[str, str] = {
         resolution_met bigint""",
     # what retries did with quarantine rows: retry, resolved or promoted
     "quarantine_action": "quarantine_id string, action string, acted_at timestamp_ntz",
+    # what the last runs of the incremental retry knew, one load a run
+    "retry_state": "kind string, name string, value string",
     "true_orphan": """quarantine_id string, source_file string, source_table string,
         unresolved_fk string, raw_data string, first_seen_at timestamp_ntz,
         retry_count int, last_retry_at timestamp_ntz""",
@@ -119,10 +121,12 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def create(self) -> "Warehouse":
-        """Create the missing tables, empty."""
+        """Create the missing tables, empty: folders that the declared schema can be read from."""
+        files = self.spark._jvm.org.apache.hadoop.fs
+        conf = self.spark._jsc.hadoopConfiguration()
         for name in TABLES:
-            empty = self.spark.createDataFrame([], table_schema(name).add(BATCH_ID, "string"))
-            empty.write.mode("ignore").partitionBy(BATCH_ID).parquet(self.path(name))
+            path = files.Path(self.path(name))
+            path.getFileSystem(conf).mkdirs(path)
         return self
 
     def read(self, table: str, but_batch: str | None = None) -> DataFrame:
@@ -159,12 +163,19 @@ class Warehouse:
         folders = [f"{self.path(table)}/{BATCH_ID}={b}" for b in batch_ids]
         return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*folders)
 
-    def loads(self, table: str) -> list[str]:
-        """The names of a table's loads, in order; folder names only."""
+    def load_times(self, table: str) -> dict[str, int]:
+        """The names of a table's loads and when their folders were last changed; no file is read."""
         files = self.spark._jvm.org.apache.hadoop.fs
         root = files.Path(self.path(table))
-        found = root.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(root)
-        names = [f.getPath().getName() for f in found if f.isDirectory()]
-        mark = f"{BATCH_ID}="
-        named = (n.removeprefix(mark) for n in names if n.startswith(mark))
-        return sorted(n for n in named if n != "__HIVE_DEFAULT_PARTITION__")
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return {}
+        mark, found = f"{BATCH_ID}=", {}
+        for entry in fs.listStatus(root):
+            name = entry.getPath().getName()
+            if entry.isDirectory() and name.startswith(mark) and not name.endswith("__HIVE_DEFAULT_PARTITION__"):
+                found[name.removeprefix(mark)] = entry.getModificationTime()
+        return found
+
+    def loads(self, table: str) -> list[str]:
+        return sorted(self.load_times(table))
