@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.catalog.fixtures import FIXTURES, table
 from sluice.catalog.registry import register
-from sluice.catalog.rules_sql import cast_sql, is_null, number, tagged_ctes
+from sluice.catalog.rules_sql import cast_sql, is_null, normal_id, number, tagged_ctes
 from sluice.catalog.star import _FACT_CELLS, conformed_sql, loaded_at
 from sluice.catalog.validation import tagged_fixture
 from sluice.functions.text import REASON_ORPHAN, REASON_RULES, REASON_SCHEMA, stage_of_reason
@@ -31,7 +33,7 @@ from sluice.plans.analytics import (
     quarantine_listing,
     recent_quarantine,
 )
-from sluice.plans.facts import fact_order
+from sluice.plans.facts import build_fact
 from sluice.plans.ingest import file_counts
 from sluice.plans.retry import (
     MAX_RETRIES,
@@ -44,7 +46,7 @@ from sluice.plans.retry import (
     true_orphans,
 )
 from sluice.session import stage
-from sluice.spec import ENTITIES
+from sluice.spec import ENTITIES, STREAM
 
 # ------------------------------------------------------------- quarantine
 
@@ -58,16 +60,17 @@ def _quarantined_at(file: str = "source_file"):
     return text.cast("timestamp_ntz")
 
 
+def union_all(parts: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def quarantine_of(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    rows = None
-    for name in names:
-        part = quarantine_rows(
-            rejected_rows(tagged_fixture(spark, sf_dir, name)),
-            FIXTURES[name].spec,
-            _quarantined_at(),
+    return union_all(
+        quarantine_rows(
+            rejected_rows(tagged_fixture(spark, sf_dir, name)), FIXTURES[name].spec, _quarantined_at()
         )
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
+        for name in names
+    )
 
 
 def quarantine_cte(name: str, prefix: str = "") -> str:
@@ -91,7 +94,9 @@ Q_COLUMNS = (
     "quarantine_id, source_file, source_table, rejection_reason, rejection_stage, "
     "rejection_rule, raw_data, quarantined_at"
 )
-ALL = ("customers", "restaurants", "orders", "ticket_events")
+#: all entities, and the facts, whose orphans are tried again
+ALL = tuple(FIXTURES)
+FACTS = tuple(n for n in ALL if ENTITIES[n].kind == STREAM)
 _ALL_CTES = ", ".join(quarantine_cte(n, f"{n}_") for n in ALL)
 _ALL_ROWS = " UNION ALL ".join(f"SELECT {Q_COLUMNS} FROM {n}_q" for n in ALL)
 _ALL_Q = f"WITH {_ALL_CTES}, q AS ({_ALL_ROWS}) "
@@ -131,18 +136,20 @@ def quarantine_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volume_alerts(quarantine_of(spark, sf_dir, *ALL))
 
 
+_ALL_TAGGED = "WITH " + ", ".join(tagged_ctes(n, f"{n}_") for n in ALL)
+_ALL_RULES = " UNION ALL ".join(
+    f"SELECT '{n}' AS entity, reject_stage, reject_rule FROM {n}_tagged" for n in ALL
+)
+
+
 @register(
     "rule_alerts",
-    f"""WITH {tagged_ctes('customers', 'c_')}, {tagged_ctes('orders', 'o_')},
-        r AS (SELECT 'customers' AS entity, reject_stage, reject_rule FROM c_tagged UNION ALL
-              SELECT 'orders', reject_stage, reject_rule FROM o_tagged)
+    f"""{_ALL_TAGGED}, r AS ({_ALL_RULES})
         SELECT entity, reject_rule, count(*) AS rejected_rows FROM r
         WHERE reject_stage = 'schema' GROUP BY 1, 2""",
 )
 def alerts_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rule_alerts(tagged_fixture(spark, sf_dir, "customers")).unionByName(
-        rule_alerts(tagged_fixture(spark, sf_dir, "orders"))
-    )
+    return union_all(rule_alerts(tagged_fixture(spark, sf_dir, n)) for n in ALL)
 
 
 @register(
@@ -159,30 +166,48 @@ RECENT_HOURS = 24 * 180
 
 @register(
     "recent_quarantine",
-    f"WITH {quarantine_cte('orders')} SELECT {Q_COLUMNS} FROM q WHERE quarantined_at > "
+    f"{_ALL_Q} SELECT * FROM q WHERE quarantined_at > "
     f"TIMESTAMP '{RECENT}' - INTERVAL '{RECENT_HOURS}' HOUR",
 )
 def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recent_quarantine(quarantine_of(spark, sf_dir, "orders"), RECENT, RECENT_HOURS)
+    return recent_quarantine(quarantine_of(spark, sf_dir, *ALL), RECENT, RECENT_HOURS)
 
 
 # ------------------------------------------------------------------ retry
 
 RETRY_AT = datetime(1999, 1, 1)
 
-def missing_sql(customers: str) -> str:
-    """The first foreign key of a raw order that has no parent, given which customers are there."""
-    return f"""CASE
-    WHEN NOT {is_null('customer_id')} AND {number('customer_id')} NOT IN
-      (SELECT CAST(c_custkey AS DOUBLE) FROM customer WHERE {customers})
-      THEN 'customer_id'
-    WHEN NOT {is_null('driver_id')} AND {number('driver_id')} NOT IN
-      (SELECT CAST(s_suppkey AS DOUBLE) FROM supplier) THEN 'driver_id'
-    WHEN NOT {is_null('restaurant_id')} AND {number('restaurant_id')} NOT IN
-      (SELECT CAST(p_partkey AS DOUBLE) FROM part) THEN 'restaurant_id' END"""
+#: parents by now, half of the late ones came: entity, table, key
+ARRIVED = {
+    "customers": ("customer", "c_custkey", "c_custkey % 100 <> 0"),
+    "drivers": ("supplier", "s_suppkey", "true"),
+    "restaurants": ("part", "p_partkey", "true"),
+    "orders": ("orders", "o_orderkey", "o_orderkey % 100 <> 0"),
+    "agents": ("supplier", "s_suppkey", "true"),
+    "tickets": ("customer", "c_custkey", "c_custkey % 100 <> 0"),
+}
+
+
+def missing_sql(name: str, **there: str) -> str:
+    """The first foreign key of a raw fact that has no parent; ``there`` says which parents came."""
+    cases = []
+    for edge in ENTITIES[name].foreign_keys:
+        source, key, where = ARRIVED[edge.entity]
+        where = there.get(edge.entity, where)
+        if ENTITIES[name].column(edge.column).dtype == "str":
+            child, parent = normal_id(edge.column), f"CAST({key} AS VARCHAR)"
+        else:
+            child, parent = number(edge.column), f"CAST({key} AS DOUBLE)"
+        cases.append(
+            f"WHEN NOT {is_null(edge.column)} AND {child} NOT IN "
+            f"(SELECT {parent} FROM {source} WHERE {where}) THEN '{edge.column}'"
+        )
+    return f"CASE {' '.join(cases)} END"
 
 
-_RETRY = f"""WITH {quarantine_cte('orders')},
+_FACT_CTES = ", ".join(quarantine_cte(n, f"{n}_") for n in FACTS)
+_FACT_ROWS = " UNION ALL ".join(f"SELECT {Q_COLUMNS}, {missing_sql(n)} AS missing FROM {n}_q" for n in FACTS)
+_RETRY = f"""WITH {_FACT_CTES}, q AS ({_FACT_ROWS}),
 actions AS (SELECT quarantine_id, 'retry' AS action, TIMESTAMP '{RETRY_AT}' AS acted_at
       FROM q CROSS JOIN range({MAX_RETRIES}) WHERE source_file LIKE '%-03/%'
     UNION ALL SELECT quarantine_id, 'resolved', TIMESTAMP '{RETRY_AT}' FROM q
@@ -192,7 +217,6 @@ history AS (SELECT quarantine_id, count(*) FILTER (WHERE action = 'retry') AS n,
     bool_or(action <> 'retry') AS closed FROM actions GROUP BY 1),
 op AS (SELECT q.*, CAST(coalesce(n, 0) AS INTEGER) AS retry_count, last_retry_at
     FROM q LEFT JOIN history USING (quarantine_id) WHERE NOT coalesce(closed, false)),
-fk AS (SELECT *, {missing_sql('c_custkey % 100 <> 0')} AS missing FROM op),
 decided AS (SELECT *,
     CASE WHEN rejection_stage = 'orphan' THEN missing ELSE rejection_stage END AS unresolved_fk,
     CASE WHEN rejection_stage <> 'orphan' THEN CASE WHEN quarantined_at <
@@ -200,12 +224,12 @@ decided AS (SELECT *,
         WHEN missing IS NULL THEN 'resolved'
         WHEN quarantined_at < TIMESTAMP '{RETRY_AT}' - INTERVAL '24' HOUR
             OR retry_count >= {MAX_RETRIES} THEN 'promoted' ELSE 'waiting' END AS outcome
-    FROM fk) """
+    FROM op) """
 
 
-def _open_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quarantined orders; those of March were tried often, those of July are done."""
-    rows = stage(quarantine_of(spark, sf_dir, "orders"), "quarantine")
+def _open_facts(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """Quarantined facts; those of March were tried often, those of July are done."""
+    rows = stage(quarantine_of(spark, sf_dir, *names), "quarantine")
     at = F.lit(RETRY_AT).cast("timestamp_ntz").alias("acted_at")
     tried = (
         rows.where("source_file LIKE '%-03/%'")
@@ -218,30 +242,27 @@ def _open_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_quarantine(rows, tried.unionByName(done))
 
 
-def _arrived(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Parents by now: half of the late customers came."""
-    return {
-        "customers": table(spark, sf_dir, "customer")
-        .where("c_custkey % 100 <> 0")
-        .selectExpr("c_custkey AS customer_id"),
-        "drivers": table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS driver_id"),
-        "restaurants": table(spark, sf_dir, "part").selectExpr("p_partkey AS restaurant_id"),
-    }
+def _arrived(spark: SparkSession, sf_dir: str, name: str) -> dict[str, DataFrame]:
+    found = {}
+    for edge in ENTITIES[name].foreign_keys:
+        parent, (source, key, where) = ENTITIES[edge.entity], ARRIVED[edge.entity]
+        as_type = "STRING" if parent.column(parent.key).dtype == "str" else "BIGINT"
+        rows = table(spark, sf_dir, source).where(where)
+        found[parent.name] = rows.selectExpr(f"CAST({key} AS {as_type}) AS {parent.key}")
+    return found
 
 
-def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orphan_outcomes(
-        _open_orders(spark, sf_dir), ENTITIES["orders"], _arrived(spark, sf_dir), RETRY_AT
-    )
+def _orphans(spark: SparkSession, sf_dir: str, name: str, is_open: DataFrame) -> DataFrame:
+    mine = is_open.where(F.col("source_table") == ENTITIES[name].table)
+    return orphan_outcomes(mine, ENTITIES[name], _arrived(spark, sf_dir, name), RETRY_AT)
 
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    is_open = _open_orders(spark, sf_dir)
-    decided = orphan_outcomes(is_open, ENTITIES["orders"], _arrived(spark, sf_dir), RETRY_AT)
+    """The outcome of every open row of the three facts."""
+    is_open = stage(_open_facts(spark, sf_dir, *FACTS), "open")
     columns = [*is_open.columns, "unresolved_fk", "outcome"]
-    return decided.select(*columns).unionByName(
-        bad_row_outcomes(is_open, RETRY_AT).select(*columns)
-    )
+    decided = [_orphans(spark, sf_dir, n, is_open).select(*columns) for n in FACTS]
+    return union_all([*decided, bad_row_outcomes(is_open, RETRY_AT).select(*columns)])
 
 
 @register(
@@ -286,24 +307,36 @@ def promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return true_orphans(outcomes(spark, sf_dir))
 
 
-def _restored_sql() -> str:
-    e = ENTITIES["orders"]
-    cells = ", ".join(f"{cast_sql(e, n)} AS {n}" for n in e.names)
-    return (
+#: tickets take the region of their order, here a number of it
+_REGIONS = """(SELECT ok.*, o_orderkey % 25 AS _region FROM ok
+    LEFT JOIN orders ON ok.order_id = CAST(o_orderkey AS VARCHAR))"""
+
+
+def _register_restored(name: str, title: str) -> None:
+    entity = ENTITIES[name]
+    cells = ", ".join(f"{cast_sql(entity, n)} AS {n}" for n in entity.names)
+    sql = (
         _RETRY
-        + f", ok AS (SELECT {cells} FROM decided WHERE outcome = 'resolved' "
-        + "AND rejection_stage = 'orphan') "
-        + conformed_sql("orders", "ok", _FACT_CELLS["orders"])
+        + f", ok AS (SELECT {cells} FROM {name}_q WHERE quarantine_id IN (SELECT quarantine_id "
+        + "FROM decided WHERE outcome = 'resolved' AND rejection_stage = 'orphan')) "
+        + conformed_sql(name, _REGIONS if name == "tickets" else "ok", _FACT_CELLS[name])
     )
 
+    @register(title, sql)
+    def restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Fact rows built back from the JSON of orphans whose parents arrived."""
+        decided = _orphans(spark, sf_dir, name, _open_facts(spark, sf_dir, name))
+        resolved = typed(decided.where(F.col("outcome") == RESOLVED), entity)
+        orders = table(spark, sf_dir, "orders").selectExpr(
+            "CAST(o_orderkey AS STRING) AS order_id", "CAST(o_orderkey % 25 AS INT) AS region_id"
+        )
+        fact = build_fact(entity, resolved, orders if name == "tickets" else None, loaded_at())
+        return fact.drop("_loaded_at", *[c for c in fact.columns if c.endswith("_sk")])
 
-@register("retry_restored_orders", _restored_sql())
-def retry_restored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact rows built back from the JSON of orphans whose parents arrived."""
-    resolved = _orphans(spark, sf_dir).where(F.col("outcome") == RESOLVED)
-    return fact_order(typed(resolved, ENTITIES["orders"]), loaded_at()).drop(
-        "order_sk", "_loaded_at"
-    )
+
+_register_restored("orders", "retry_restored_orders")
+_register_restored("tickets", "retry_restored_tickets")
+_register_restored("ticket_events", "retry_restored_events")
 
 
 @register(
@@ -365,7 +398,6 @@ def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ audit
 
-AUDITED = ("orders", "ticket_events")
 _COUNTS = """count(*) AS total_records,
     count(*) FILTER (WHERE reject_stage IS NULL) AS valid_records,
     count(*) FILTER (WHERE reject_stage IS NOT NULL) AS quarantined,
@@ -373,18 +405,18 @@ _COUNTS = """count(*) AS total_records,
     count(*) FILTER (WHERE reject_stage = 'orphan') AS orphan_count"""
 
 
-@register(
-    "file_audit",
-    f"WITH {tagged_ctes('orders')} SELECT _file, {_COUNTS} FROM tagged GROUP BY _file",
-)
+_ALL_COUNTS = " UNION ALL ".join(f"SELECT _file, {_COUNTS} FROM {n}_tagged GROUP BY _file" for n in ALL)
+
+
+@register("file_audit", f"{_ALL_TAGGED} {_ALL_COUNTS}")
 def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_counts(tagged_fixture(spark, sf_dir, "orders"))
+    return union_all(file_counts(tagged_fixture(spark, sf_dir, n)) for n in ALL)
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An audit log of all order and event files, some of them taken as failed."""
+    """An audit log of all files, some of them taken as failed."""
     log = None
-    for name in AUDITED:
+    for name in ALL:
         e = ENTITIES[name]
         part = file_counts(tagged_fixture(spark, sf_dir, name)).select(
             F.col(FILE).alias("file_path"),
@@ -411,10 +443,9 @@ def _log_sql() -> str:
           '{ENTITIES[n].table}' AS source_table, {_COUNTS},
           CAST(substr(split_part(_file, '/', -2), 1, 7) || '-01 06:30:00' AS TIMESTAMP)
             AS processed_at FROM {n}_tagged GROUP BY _file"""
-        for n in AUDITED
+        for n in ALL
     ]
-    ctes = ", ".join(tagged_ctes(n, f"{n}_") for n in AUDITED)
-    return f"""WITH {ctes}, l AS ({' UNION ALL '.join(parts)}),
+    return f"""{_ALL_TAGGED}, l AS ({' UNION ALL '.join(parts)}),
         log AS (SELECT *, CASE WHEN quarantined % 2 = 0 THEN 'failed' ELSE 'success' END AS status,
             CASE WHEN quarantined % 2 = 0 THEN 'schema' END AS rejection_stage FROM l) """
 

@@ -192,7 +192,7 @@ def _outcome_sql(n: int, missing: str) -> str:
 @register(
     "retry_by_arrivals",
     f"""WITH {quarantine_cte('orders')},
-    met AS (SELECT *, {missing_sql(THERE[0])} AS m1, {missing_sql(THERE[1])} AS m2 FROM q),
+    met AS (SELECT *, {missing_sql('orders', customers=THERE[0])} AS m1, {missing_sql('orders', customers=THERE[1])} AS m2 FROM q),
     runs AS (SELECT *, {_outcome_sql(0, 'm1')} AS o1, {_outcome_sql(1, 'm2')} AS o2 FROM met)
     SELECT quarantine_id, rejection_stage, coalesce(o1, o2, 'open') AS outcome,
       CASE WHEN o1 IS NOT NULL THEN CAST(TIMESTAMP '{RUNS[0]}' AS DATE) WHEN o2 IS NOT NULL THEN CAST(TIMESTAMP '{RUNS[1]}' AS DATE) END AS acted_on,
