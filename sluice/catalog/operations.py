@@ -45,7 +45,7 @@ from sluice.plans.retry import (
     promoted_by_fk,
     true_orphans,
 )
-from sluice.session import stage
+from sluice.session import side_by_side, stage
 from sluice.spec import ENTITIES, STREAM
 
 # ------------------------------------------------------------- quarantine
@@ -64,12 +64,15 @@ def union_all(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def tagged_all(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> list[DataFrame]:
+    """The tagged rows of several entities; their cascades do not depend on each other."""
+    return side_by_side(lambda name: tagged_fixture(spark, sf_dir, name), names)
+
+
 def quarantine_of(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     return union_all(
-        quarantine_rows(
-            rejected_rows(tagged_fixture(spark, sf_dir, name)), FIXTURES[name].spec, _quarantined_at()
-        )
-        for name in names
+        quarantine_rows(rejected_rows(tagged), FIXTURES[name].spec, _quarantined_at())
+        for name, tagged in zip(names, tagged_all(spark, sf_dir, names))
     )
 
 
@@ -149,7 +152,7 @@ _ALL_RULES = " UNION ALL ".join(
         WHERE reject_stage = 'schema' GROUP BY 1, 2""",
 )
 def alerts_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return union_all(rule_alerts(tagged_fixture(spark, sf_dir, n)) for n in ALL)
+    return union_all(map(rule_alerts, tagged_all(spark, sf_dir, ALL)))
 
 
 @register(
@@ -261,7 +264,7 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outcome of every open row of the three facts."""
     is_open = stage(_open_facts(spark, sf_dir, *FACTS), "open")
     columns = [*is_open.columns, "unresolved_fk", "outcome"]
-    decided = [_orphans(spark, sf_dir, n, is_open).select(*columns) for n in FACTS]
+    decided = side_by_side(lambda n: _orphans(spark, sf_dir, n, is_open).select(*columns), FACTS)
     return union_all([*decided, bad_row_outcomes(is_open, RETRY_AT).select(*columns)])
 
 
@@ -410,15 +413,15 @@ _ALL_COUNTS = " UNION ALL ".join(f"SELECT _file, {_COUNTS} FROM {n}_tagged GROUP
 
 @register("file_audit", f"{_ALL_TAGGED} {_ALL_COUNTS}")
 def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return union_all(file_counts(tagged_fixture(spark, sf_dir, n)) for n in ALL)
+    return union_all(map(file_counts, tagged_all(spark, sf_dir, ALL)))
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An audit log of all files, some of them taken as failed."""
     log = None
-    for name in ALL:
+    for name, tagged in zip(ALL, tagged_all(spark, sf_dir, ALL)):
         e = ENTITIES[name]
-        part = file_counts(tagged_fixture(spark, sf_dir, name)).select(
+        part = file_counts(tagged).select(
             F.col(FILE).alias("file_path"),
             F.element_at(F.split(F.col(FILE), "/"), -1).alias("file_name"),
             F.lit(e.kind).alias("file_type"),

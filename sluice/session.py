@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 from functools import cache
 from uuid import uuid4
 
@@ -99,6 +100,17 @@ def temporary_stages(spark: SparkSession) -> Iterator[None]:
         _staged.reset(token)
 
 
+def side_by_side[A, B](fn: Callable[[A], B], items: Iterable[A], at_once: int = 4) -> list[B]:
+    """The results of ``fn`` in order, where several calls may run Spark jobs at a time.
+
+    For plans that do not depend on each other but stage tables while they
+    are built: the cluster then has the tasks of several small jobs to fill it.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        calls = [pool.submit(copy_context().run, fn, item) for item in items]
+        return [c.result() for c in calls]
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Share out a scan that has fewer splits than there are cores.
 
