@@ -122,9 +122,20 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     best = stage(classes.groupBy("node").agg(F.min(rank).alias("best")), "best")
     taken = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("digest") == F.col("best.digest"))
     marks = classes.join(best, "node").withColumn("taken", taken).where("not taken or copies > 1")
-    marks = stage(marks.select(F.col("id").alias("_id"), F.col("digest").alias("_of"), "taken"), "marks")
-    keyed = docs.withColumn("_digest", digest_of(text_of()))
-    same = F.col(id_column).cast("long").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_of"))
-    single = keyed.join(marks, same, "left_anti")
-    repeated = keyed.join(marks.where("taken"), same, "left_semi").dropDuplicates([id_column, "_digest"])
-    return single.union(repeated).select(*docs.columns)
+    # names that no column of the table has, and columns by position: any name may be there
+    at, of, digest = (_free(name, docs) for name in ("_id", "_of", "_digest"))
+    marks = stage(marks.select(F.col("id").alias(at), F.col("digest").alias(of), "taken"), "marks")
+    taken_rows = marks.where("taken").drop("taken")
+    keyed = docs.withColumn(digest, digest_of(text_of()))
+    same = F.col(id_column).cast("long").eqNullSafe(F.col(at)) & (F.col(digest) == F.col(of))
+    single = keyed.join(marks.drop("taken"), same, "left_anti")
+    repeated = keyed.join(taken_rows, same, "left_semi").dropDuplicates([id_column, digest])
+    return single.union(repeated).drop(digest)
+
+
+def _free(name: str, docs: DataFrame) -> str:
+    """A column name like ``name`` that the table lacks, in either case."""
+    known = {c.lower() for c in docs.columns}
+    while name in known:
+        name += "_"
+    return name

@@ -19,10 +19,9 @@ WINDOW = 20
 #: cells of the sketch for each window, its rows, most bits of its map, bits of a segment
 CELLS, ROWS, MAX_BITS, SEGMENT = 4, 2, 1 << 30, 22
 #: windows that a task compares with each other before it hands them on
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 NULL_ID = -(1 << 63)
-#: fixed values: odd bases of the two rolling hashes, and multipliers that mix their bits
-BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+#: fixed values: multipliers that mix the bits of a number
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
@@ -32,47 +31,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    known = _powers.get(base)
-    if known is None or len(known) < n:
-        size = max(n, 1 << 16)
-        steps = np.full(size, base, dtype=np.uint64)
-        steps[0] = 1
-        known = np.cumprod(steps, dtype=np.uint64)
-        if size <= 1 << 20:
-            _powers[base] = known
-    return known[:n]
-
-
 def window_hashes(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of every run of ``window`` words joined by one blank.
+    """The halves of a 128-bit hash of every run of ``window`` words joined by one blank.
 
-    A polynomial of the bytes: a prefix sum of byte times power gives each run's
-    value times the power of its start, and shifting all runs to the highest
-    power makes equal runs equal.
+    Each run is hashed as a whole: hashes that are rolled along modulo a
+    power of two are equal for some texts whatever their base.
     """
+    from xxhash import xxh3_128_digest
+
     n = len(words) - window + 1
     if n <= 0:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    data = np.frombuffer(b" ".join(words), dtype=np.uint8).astype(np.uint64)
-    data += np.uint64(1)
-    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    a, b = starts[:n], ends[window - 1 :]
-    found = []
-    for base in BASES:
-        power = _power(base, len(data) + 1)
-        prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(data * power[:-1], out=prefix[1:])
-        value = (prefix[b] - prefix[a]) * power[len(data) - a]
-        # the highest power depends on the text: divided out by its inverse
-        found.append(_mixed(value * np.uint64(pow(base, -len(data), 1 << 64)) ^ (b - a).astype(np.uint64)))
-    return found[0], found[1]
+    data = memoryview(b" ".join(words))
+    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[: n - 1] + 1))
+    found = [xxh3_128_digest(data[a:b]) for a, b in zip(starts.tolist(), ends[window - 1 :].tolist())]
+    halves = np.frombuffer(b"".join(found), dtype="<u8").reshape(-1, 2)
+    return halves[:, 0].copy(), halves[:, 1].copy()
 
 
 def _rows_of(h: np.ndarray, g: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -123,6 +98,7 @@ def repeat_map(slim: DataFrame, window: int = WINDOW, cells: int = CELLS, max_bi
 
         def hand_on() -> pa.RecordBatch:
             h, g = (np.concatenate(x) for x in zip(*held))
+            held.clear()
             rows = []
             for r, at in enumerate(_rows_of(h, g, bits)):
                 at, times = np.unique(at, return_counts=True)
@@ -237,6 +213,7 @@ def _candidates(slim: DataFrame, maps: list[list[bytes]], bits: int, window: int
 
         def hand_on() -> Iterator[pa.RecordBatch]:
             h, g, doc, at = (np.concatenate(x) for x in zip(*held))
+            held.clear()
             order = np.lexsort((at, doc, g, h))
             h, g, doc, at = h[order], g[order], doc[order], at[order]
             again = np.zeros(len(h), dtype=bool)

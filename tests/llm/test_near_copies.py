@@ -105,3 +105,21 @@ def test_one_row_of_each_group_stays(spark):
     got = sorted((str(r["doc_id"]), (r["text"] or "-").split(" ")[0]) for r in kept.collect())
     assert got == sorted([("1", "a0"), ("5", "b0"), ("7", "c0"), ("None", "d0"), ("None", "e0"), ("9", "f0"), ("11", "-")])
     assert kept.columns == ["doc_id", "text", "source"]
+
+
+def test_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    schema = "doc_id long, text string, _id string, `_DIGEST` string, `a.b` string, node long, taken string, id long"
+    docs = spark.createDataFrame([(i, text, "x", "y", "z", i, "t", i) for i in (3, 2)] + [(9, "other", "p", "q", "r", 1, "u", 2)], schema)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [(2, text, "x", "y", "z", 2, "t", 2), (9, "other", "p", "q", "r", 1, "u", 2)]
+
+
+def test_texts_that_quote_one_passage_are_not_all_compared(spark):
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, passage + " " + " ".join(f"u{i}x{k}" for k in range(60)), "a") for i in range(60)]
+    rows += [(100 + i, changed(rng, rows[i][1], 1), "a") for i in range(5)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, DOCS))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(60))
