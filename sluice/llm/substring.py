@@ -19,7 +19,7 @@ WINDOW = 20
 #: cells of the sketch for each window, its rows, most bits of its map, bits of a segment
 CELLS, ROWS, MAX_BITS, SEGMENT = 4, 2, 1 << 30, 22
 #: windows that a task compares with each other before it hands them on
-CHUNK = 1_000_000
+CHUNK = 400_000
 NULL_ID = -(1 << 63)
 #: fixed values: multipliers that mix the bits of a number
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -71,7 +71,7 @@ def unpacked(data: bytes) -> np.ndarray:
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple]:
     """(doc_id, crc, hashes) of every text that has a window."""
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", 1 << 20):
         for doc, crc, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "crc", "text"))):
             h, g = window_hashes(text.encode().split(), window)
             if len(h):
@@ -118,6 +118,7 @@ def repeat_map(slim: DataFrame, window: int = WINDOW, cells: int = CELLS, max_bi
                 held, n = [], 0
         if held:
             yield hand_on()
+        _give_back()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by segment, so one segment's counts are held at a time."""
@@ -148,6 +149,11 @@ def repeat_map(slim: DataFrame, window: int = WINDOW, cells: int = CELLS, max_bi
     return [maps[r * n_segments : (r + 1) * n_segments] for r in range(ROWS)], bits
 
 
+def _give_back() -> None:
+    """Python workers wait for further tasks: what one freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+
+
 _opened: list = [None, []]
 
 
@@ -239,6 +245,7 @@ def _candidates(slim: DataFrame, maps: list[list[bytes]], bits: int, window: int
                 held, n = [], 0
         if held:
             yield from hand_on()
+        _give_back()
 
     return slim.select("doc_id", "crc", "text").mapInArrow(run, _FOUND)
 
