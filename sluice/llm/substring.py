@@ -18,8 +18,8 @@ from sluice.session import stage
 WINDOW = 20
 #: cells of the sketch for each window, its rows, most bits of its map, bits of a segment
 CELLS, ROWS, MAX_BITS, SEGMENT = 4, 2, 1 << 30, 22
-#: windows that a task compares with each other before it hands them on
-CHUNK = 400_000
+#: windows that a task counts, and windows that it compares with each other, before it hands them on
+COUNTED, CHUNK = 1_500_000, 700_000
 NULL_ID = -(1 << 63)
 #: fixed values: multipliers that mix the bits of a number
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -113,7 +113,7 @@ def repeat_map(slim: DataFrame, window: int = WINDOW, cells: int = CELLS, max_bi
         for _, _, h, g in _windows(batches, window):
             held.append((h, g))
             n += len(h)
-            if n >= CHUNK:
+            if n >= COUNTED:
                 yield hand_on()
                 held, n = [], 0
         if held:
