@@ -1,6 +1,8 @@
 """Star-schema tables as parquet folders, one sub-folder per load.
 
-A load replaces its own sub-folder, so replaying it changes nothing.
+A load replaces its own sub-folder, so replaying it changes nothing.  Small
+loads can be folded together (``plans/compaction.py``); reads and loads then
+follow the table's current version of its folds.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.sources.folds import LOAD, Folds, commit, current, entries, fold_path
+
 BATCH_ID = "_batch_id"
 
 #: amounts and minutes share one decimal type, wide enough for any value that
@@ -77,6 +81,9 @@ TABLES: dict[str, str] = {
         resolution_met bigint""",
     # what retries did with quarantine rows: retry, resolved or promoted
     "quarantine_action": "quarantine_id string, action string, acted_at timestamp_ntz",
+    # one row a day of the daily run, replaced when the day is run again
+    "daily_run": """day date, status string, files_loaded bigint, files_skipped bigint,
+        files_failed bigint, error_msg string, finished_at timestamp_ntz""",
     # what the last runs of the incremental retry knew, one load a run
     "retry_state": "kind string, name string, value string",
     "true_orphan": """quarantine_id string, source_file string, source_table string,
@@ -131,13 +138,57 @@ class Warehouse:
 
     def read(self, table: str, but_batch: str | None = None) -> DataFrame:
         """The table; with ``but_batch`` without the rows an earlier try of that load wrote."""
-        df = self.spark.read.schema(table_schema(table).add(BATCH_ID, "string")).parquet(
-            self.path(table)
-        )
+        state = self.folds(table)
+        if state.folds:
+            live = [b for b in self._folders(table) if b not in state.loads]
+            df = self._of_folders(table, live).unionByName(self._of_folds(table, state))
+        else:
+            df = self.spark.read.schema(self._stored(table)).parquet(self.path(table))
         if but_batch is not None:
             df = df.where(F.col(BATCH_ID) != but_batch)
         return df.drop(BATCH_ID)
 
+    def folds(self, table: str) -> Folds:
+        return current(self.spark, self.path(table))
+
+    def _stored(self, table: str) -> T.StructType:
+        return table_schema(table).add(BATCH_ID, "string")
+
+    def _folders(self, table: str) -> dict[str, int]:
+        """Loads that have a folder of their own, folded or not, and when it was last changed."""
+        mark = f"{BATCH_ID}="
+        return {
+            name.removeprefix(mark): at
+            for name, at in entries(self.spark, self.path(table)).items()
+            if name.startswith(mark) and not name.endswith("__HIVE_DEFAULT_PARTITION__")
+        }
+
+    def _of_folders(self, table: str, batch_ids: Sequence[str]) -> DataFrame:
+        if not batch_ids:
+            return self.spark.createDataFrame([], self._stored(table))
+        folders = [f"{self.path(table)}/{BATCH_ID}={b}" for b in sorted(batch_ids)]
+        reader = self.spark.read.schema(self._stored(table)).option("basePath", self.path(table))
+        return reader.parquet(*folders)
+
+    def _of_folds(self, table: str, state: Folds, names: Sequence[str] | None = None) -> DataFrame:
+        """The rows of folds that count, with the load each is of."""
+        names = sorted(state.folds if names is None else names)
+        if not names:
+            return self.spark.createDataFrame([], self._stored(table))
+        schema = table_schema(table).add(LOAD, "string")
+
+        def one_scan(folds: Sequence[str]) -> DataFrame:
+            return self.spark.read.schema(schema).parquet(
+                *[fold_path(self.path(table), n) for n in folds]
+            )
+
+        whole = [n for n in names if n not in state.replaced]
+        rows = one_scan(whole) if whole else self.spark.createDataFrame([], schema)
+        for name in names:
+            if name in state.replaced:
+                rows = rows.union(one_scan([name]).where(~F.col(LOAD).isin(*state.replaced[name])))
+        return rows.withColumnRenamed(LOAD, BATCH_ID)
+
     def write_load(self, table: str, rows: DataFrame, batch_id: str) -> None:
         """Write one load's rows, replacing what an earlier try of it wrote."""
         if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", batch_id):
@@ -149,33 +200,32 @@ class Warehouse:
             .write.mode("overwrite")
             .parquet(f"{self.path(table)}/{BATCH_ID}={batch_id}")
         )
+        state = self.folds(table)
+        if batch_id in state.loads:
+            # from here on its rows in the fold do not count
+            commit(self.spark, self.path(table), state.without(batch_id))
 
     def read_load(self, table: str, batch_id: str) -> DataFrame:
+        if batch_id in self.folds(table).loads:
+            return self.read_loads(table, [batch_id]).drop(BATCH_ID)
         return self.spark.read.schema(table_schema(table)).parquet(
             f"{self.path(table)}/{BATCH_ID}={batch_id}"
         )
 
     def read_loads(self, table: str, batch_ids: Sequence[str]) -> DataFrame:
         """The rows of some loads with the load they are of; no other folder is listed or read."""
-        schema = table_schema(table).add(BATCH_ID, "string")
-        if not batch_ids:
-            return self.spark.createDataFrame([], schema)
-        folders = [f"{self.path(table)}/{BATCH_ID}={b}" for b in batch_ids]
-        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*folders)
+        state = self.folds(table)
+        folded = [b for b in batch_ids if b in state.loads]
+        rows = self._of_folders(table, [b for b in batch_ids if b not in state.loads])
+        if folded:
+            names = [n for n, loads in state.folds.items() if not loads.keys().isdisjoint(folded)]
+            of_folds = self._of_folds(table, state, names).where(F.col(BATCH_ID).isin(*folded))
+            rows = rows.unionByName(of_folds)
+        return rows
 
     def load_times(self, table: str) -> dict[str, int]:
-        """The names of a table's loads and when their folders were last changed; no file is read."""
-        files = self.spark._jvm.org.apache.hadoop.fs
-        root = files.Path(self.path(table))
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return {}
-        mark, found = f"{BATCH_ID}=", {}
-        for entry in fs.listStatus(root):
-            name = entry.getPath().getName()
-            if entry.isDirectory() and name.startswith(mark) and not name.endswith("__HIVE_DEFAULT_PARTITION__"):
-                found[name.removeprefix(mark)] = entry.getModificationTime()
-        return found
+        """The names of a table's loads and when they were last written; no row is read."""
+        return self._folders(table) | self.folds(table).loads
 
     def loads(self, table: str) -> list[str]:
         return sorted(self.load_times(table))
