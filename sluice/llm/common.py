@@ -31,6 +31,18 @@ def words_of(text: Column) -> Column:
     return F.when(F.length(spaced) > 0, F.split(spaced, " +")).otherwise(none)
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name, which may hold dots and the like."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def free_mark(df: DataFrame, mark: str) -> str:
+    """A prefix like ``mark`` that no column of the table starts with, in either case."""
+    while any(c.lower().startswith(mark.lower()) for c in df.columns):
+        mark += "_"
+    return mark
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Adds a column that is computed once a row.
 
@@ -38,7 +50,7 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     name, also inside the lambda of a higher-order function, where it would be
     computed for every element.  It does not do so across a generator.
     """
-    kept = [F.col(c) for c in df.columns if c != name]
+    kept = [named(c) for c in df.columns if c != name]
     return df.select(*kept, F.explode(F.array(value)).alias(name))
 
 

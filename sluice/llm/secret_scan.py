@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import once, text_of
+from sluice.llm.common import free_mark, named, once, text_of
 from sluice.session import stage
 
 #: fixed values: the base patterns; letters of the key words in either case
@@ -35,6 +35,8 @@ BACKOFF, MOST = 8.0, 3.0
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 #: entries of an array that are summed in one go
 RUN = 256
+#: code points of a block of a text
+BLOCK = 4096
 
 
 def _running(array: Column) -> Column:
@@ -163,26 +165,33 @@ def score(word: Column, model: list[float]) -> Column:
 
 
 def is_random(word: Column, model: list[float]) -> Column:
-    total = score(word, model)
-    mixed = word.rlike("[0-9]") & word.rlike("[A-Za-z]")
-    return mixed & (total >= F.greatest(F.lit(MIN_SCORE), MIN_RATE * (F.length(word) - 1)))
+    """Whether the ratio says so, for letters alone as for letters with digits."""
+    return score(word, model) >= F.greatest(F.lit(MIN_SCORE), MIN_RATE * (F.length(word) - 1))
 
 
 def scan(docs: DataFrame, model: list[float] | None = None, mark: str = "_s_") -> DataFrame:
     """The rows with arrays of spans: the base kinds, and ``markov`` for what only the model finds.
 
-    A candidate that touches a base span is not a span of its own.  Without a
-    model one is trained on these rows.  Null and empty texts have no spans.
+    A candidate inside a base span, or one that touches the span of an
+    assignment, whose value ends where the candidate does, is no span of its
+    own; one that reaches beyond a hex or access span is, so that no part of a
+    longer key is left.  Without a model one is trained on these rows.  Null
+    and empty texts have no spans; repeated rows are scanned each; an empty
+    table gives an empty one.  ``mark`` must not begin a column's name.
     """
     if model is None:
         model = train(samples(docs))
     found = base_spans(docs, mark)
     found = _found(found, text_of(), f"{mark}run", CANDIDATE, _any)
-    base = F.concat(*(F.col(f"{mark}{k}") for k in KINDS))
-    free = lambda s: ~F.exists(F.col(f"{mark}base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    found = once(found, f"{mark}base", base)
+    within = lambda s, b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])
+    touch = lambda s, b: (b["start"] < s["end"]) & (s["start"] < b["end"])
+    free = lambda s: ~(
+        F.exists(F.col(f"{mark}assign"), lambda b: touch(s, b))
+        | F.exists(F.col(f"{mark}access"), lambda b: within(s, b))
+        | F.exists(F.col(f"{mark}hex"), lambda b: within(s, b))
+    )
     random = F.filter(F.col(f"{mark}run"), lambda s: free(s) & is_random(s["value"], model))
-    return found.withColumn(f"{mark}markov", F.when(F.size(f"{mark}run") > 0, random).otherwise(F.col(f"{mark}run"))).drop(f"{mark}base", f"{mark}run")
+    return found.withColumn(f"{mark}markov", F.when(F.size(f"{mark}run") > 0, random).otherwise(F.col(f"{mark}run"))).drop(f"{mark}run")
 
 
 def listed(kinds: tuple[str, ...], mark: str = "_s_") -> Column:
@@ -199,38 +208,68 @@ def listed(kinds: tuple[str, ...], mark: str = "_s_") -> Column:
     return F.array_join(text, ",")
 
 
+def _starts_and_ends(spans: Column) -> Column:
+    """Starts (step 1) and ends (step -1) of spans in order, ends first in a tie.
+
+    With the number of spans open after each, a start that leaves one open
+    begins a merged span and an end that leaves none open ends it: those
+    that overlap are one, those that only touch stay apart.
+    """
+    starts = F.transform(spans, lambda s: F.struct(s["start"].alias("at"), F.lit(1).cast("long").alias("step")))
+    ends = F.transform(spans, lambda s: F.struct(s["end"].alias("at"), F.lit(-1).cast("long").alias("step")))
+    return F.sort_array(F.concat(starts, ends))
+
+
 def redacted(docs: DataFrame, model: list[float] | None = None, filler: str = "[SECRET]") -> DataFrame:
     """The rows with every span of their text replaced by ``filler``; n_chars, if there, follows.
 
-    Overlapping spans are replaced as one.  Rows without spans are unchanged.
+    Overlapping spans are replaced as one.  Rows without spans are unchanged,
+    null and empty texts among them; repeated rows are treated each; an empty
+    table stays empty; columns may have any names.  The work grows with the
+    text's length and the number of spans, not with their product.
     """
     columns = docs.columns
-    found = scan(docs, model)
-    spans = F.sort_array(F.concat(*(F.transform(F.col(f"_s_{k}"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in (*KINDS, "markov"))))
-    found = once(found, "_s_all", spans)
-    text = text_of()
-    step = lambda acc, s: F.when(
-        s["end"] <= acc["at"], acc
-    ).otherwise(
-        F.struct(
-            F.concat(
-                acc["out"],
-                F.when(
-                    (s["start"] >= acc["at"]),
-                    F.concat(F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(filler)),
-                ).otherwise(F.lit("")),
-            ).alias("out"),
-            s["end"].alias("at"),
-        )
-    )
-    done = F.aggregate(
-        F.col("_s_all"),
-        F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        step,
-        lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))),
+    mark = free_mark(docs, "_s_")
+    found = scan(docs, model, mark)
+    spans = F.concat(*(
+        F.transform(F.col(f"{mark}{k}"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+        for k in (*KINDS, "markov")
+    ))
+    found = once(found, f"{mark}all", spans)
+    some = F.size(f"{mark}all") > 0
+    found = once(found, f"{mark}marks", _starts_and_ends(F.col(f"{mark}all")))
+    found = once(found, f"{mark}open", _running(F.transform(F.col(f"{mark}marks"), lambda m: m["step"])))
+    with_open = F.arrays_zip(
+        F.transform(F.col(f"{mark}marks"), lambda m: m["at"]).alias("at"),
+        F.transform(F.col(f"{mark}marks"), lambda m: m["step"]).alias("step"),
+        F.col(f"{mark}open").alias("open"),
     )
-    some = F.size("_s_all") > 0
+    found = once(found, f"{mark}zip", with_open)
+    begins = F.transform(F.filter(F.col(f"{mark}zip"), lambda z: (z["step"] == 1) & (z["open"] == 1)), lambda z: z["at"])
+    stops = F.transform(F.filter(F.col(f"{mark}zip"), lambda z: (z["step"] == -1) & (z["open"] == 0)), lambda z: z["at"])
+    zero = F.array(F.lit(0).cast("long"))
+    # what stays: from the end of a merged span, or the text's start, to the next one or the text's end
+    length = F.array(F.length(text_of()).cast("long"))
+    stays = F.zip_with(F.concat(zero, stops), F.concat(begins, length), lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+    found = once(found, f"{mark}stays", F.when(some, stays))
+    # blocks of the text, so that a piece is not looked for from the text's start
+    found = once(found, f"{mark}blocks", F.when(some, F.regexp_extract_all(text_of(), F.lit(f"(?s).{{1,{BLOCK}}}"), 0)))
+    blocks = F.col(f"{mark}blocks")
+
+    def cut(s: Column) -> Column:
+        first, last = F.floor(s["start"] / BLOCK).cast("int"), F.floor(s["end"] / BLOCK).cast("int")
+        at, end = (s["start"] % BLOCK).cast("int"), (s["end"] % BLOCK).cast("int")
+        nth = lambda i: F.coalesce(F.get(blocks, i), F.lit(""))
+        inside = F.substring(nth(first), at + 1, end - at)
+        across = F.concat(
+            F.substring(nth(first), at + 1, F.lit(BLOCK)),
+            F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+            F.substring(nth(last), F.lit(1), end),
+        )
+        return F.when(first == last, inside).otherwise(across)
+
+    done = F.array_join(F.transform(F.col(f"{mark}stays"), cut), filler)
     found = found.withColumn("text", F.when(some, done).otherwise(F.col("text")))
     if "n_chars" in columns:
         found = found.withColumn("n_chars", F.when(some, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return found.select(*columns)
+    return found.select(*map(named, columns))

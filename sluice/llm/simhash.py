@@ -17,6 +17,10 @@ from sluice.session import stage
 
 #: words of a shingle, bits that linked fingerprints may differ in
 SHINGLE, RADIUS = 3, 2
+#: bits of a segment; fingerprints under one table key from which on they are linked on their own
+SEGMENT, CROWD = 32, 32
+#: fingerprints of a task that enumerates keys
+PART_ROWS = 400_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -50,39 +54,82 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", shingle: int = SHIN
     return kept.mapInArrow(run, "id long, fp long")
 
 
-def _ball(fp: Column) -> Column:
-    """The fingerprint, and those that differ from it in one bit of either 32-bit segment."""
+def _segments(fp: Column) -> Column:
+    """Table keys of a fingerprint: each 32-bit segment's value, with the segment's number above it."""
+    low = fp.bitwiseAND(F.lit(0xFFFFFFFF))
+    high = F.call_function("shiftrightunsigned", fp, F.lit(32))
+    return F.array(low, high.bitwiseOR(F.lit(1 << 32)))
+
+
+def _flips(value: Column, bits: int) -> Column:
     one = F.lit(1).cast("long")
-    flips = F.transform(
-        F.sequence(F.lit(0), F.lit(63)),
-        lambda bit: fp.bitwiseXOR(F.call_function("shiftleft", one, bit)),
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(bits - 1)),
+        lambda bit: value.bitwiseXOR(F.call_function("shiftleft", one, bit)),
     )
-    return F.concat(F.array(fp), flips)
 
 
-def fingerprint_links(fps: DataFrame) -> DataFrame:
+def _ball(fp: Column) -> Column:
+    """Table keys within one bit of either segment's own."""
+    near = lambda key: F.concat(F.array(key), _flips(key, SEGMENT))
+    return F.flatten(F.transform(_segments(fp), near))
+
+
+def _shared_out(fps: DataFrame) -> DataFrame:
+    """As many partitions as the rows need once each has become some 66 keys."""
+    cores = fps.sparkSession.sparkContext.defaultParallelism
+    return fps.repartition(max(cores, -(-fps.count() // PART_ROWS)))
+
+
+def _near(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= RADIUS
+
+
+def fingerprint_links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) that join all distinct fingerprints within two bits of each other.
 
-    Multi-index hashing with two segments of 32 bits.  Two fingerprints within
-    two bits differ by at most one bit in a segment, or by two in one of them;
-    either way one change in a segment of each leads to the same table key.
-    So each fingerprint enumerates the ball of radius 1 in each segment, the
-    other left as it is, and enters the table under these 65 keys.  A key is
-    the whole changed fingerprint, not its segment alone: no more than 65
-    distinct fingerprints can meet under it, however many near copies share a
-    segment.  Those that meet are linked to the smallest of them after their
-    complete distance is verified; that keeps every component whole without
-    listing its pairs.
+    Multi-index hashing with two segments of 32 bits, a table for each, keyed
+    by the segment's value.  Of two fingerprints within two bits one segment
+    differs in one bit at most.  So each fingerprint enumerates the ball of
+    radius 1 around each of its segments, fetches what the table holds under
+    these 66 keys and keeps those whose complete distance is 2 or less.
+
+    A table key that more than ``crowd`` fingerprints share, such as half a
+    group of near copies, would make pairs by the square of their number.  Its
+    fingerprints leave the table and are linked among themselves (``_crowded``).
+    Nothing is lost: with one of a pair under a key that is not crowded the
+    other finds it there, and otherwise both are among the crowded.
+    """
+    fps = stage(_shared_out(fps.select("fp")), "shared_out")
+    table = fps.select("fp", F.explode(_segments(F.col("fp"))).alias("key"))
+    sizes = table.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowd)
+    crowds = stage(sizes.select("key"), "crowds")
+    sparse = table.join(crowds, "key", "left_anti").select(F.col("fp").alias("b"), "key")
+    asked = fps.select(F.col("fp").alias("a"), F.explode(_ball(F.col("fp"))).alias("key"))
+    fetched = asked.join(sparse, "key").where((F.col("a") != F.col("b")) & _near("a", "b"))
+    links = fetched.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    crowded = stage(table.join(crowds, "key", "left_semi").select("fp").distinct(), "crowded")
+    return links.union(_crowded(_shared_out(crowded))).distinct()
+
+
+def _crowded(fps: DataFrame) -> DataFrame:
+    """Links that join all of these fingerprints within two bits, at most 65 of which meet in a group.
+
+    Both sides enumerate: the fingerprint itself and the 64 that differ from
+    it in one bit.  Two within two bits have one of these in common, and no
+    more than 65 fingerprints can have the same one.  Those that meet are linked to
+    the smallest of them if near it, which keeps components whole: any two of
+    them are within two bits.
     """
-    table = fps.select("fp", F.explode(_ball(F.col("fp"))).alias("key"))
+    every = F.concat(F.array("fp"), _flips(F.col("fp"), 64))
     met = (
-        table.groupBy("key")
+        fps.select("fp", F.explode(every).alias("key"))
+        .groupBy("key")
         .agg(F.collect_list("fp").alias("met"))
         .where(F.size("met") > 1)
         .select(F.array_min("met").alias("a"), F.explode("met").alias("b"))
     )
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
-    return met.where((F.col("a") != F.col("b")) & near).distinct()
+    return met.where((F.col("a") != F.col("b")) & _near("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
