@@ -6,7 +6,7 @@ from importlib import import_module
 
 from sluice.catalog.registry import ORACLE, QUERIES, Query
 
-MODULES = ("validation", "star", "operations", "jobs", "streams")
+MODULES = ("validation", "star", "operations", "jobs", "streams", "master")
 
 
 def _load() -> None:

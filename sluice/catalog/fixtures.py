@@ -307,6 +307,71 @@ _BUILDERS: tuple[Callable[[], Fixture], ...] = (
 )
 FIXTURES: dict[str, Fixture] = {f.entity: f for f in (b() for b in _BUILDERS)}
 
+
+def _small(entity: str, source: str, key: str, **columns: str) -> Fixture:
+    name = ENTITIES[entity].name
+    return Fixture(
+        entity, source, key, {ENTITIES[entity].key: text(key), **columns},
+        file=f"'master/{name}.csv'", repeat=50,
+    )
+
+
+def _lookups() -> tuple[Fixture, ...]:
+    """The dimensions that others refer to, from tables that grow with the data."""
+    c, p, s, o, e = "c_custkey", "p_partkey", "s_suppkey", "o_orderkey", "event_id"
+    level = "substr(o_orderpriority, 1, 1)"
+    return (
+        _small(
+            "cities", "customer", c,
+            city_name=_case(c, "c_name", {53: "''", 41: "'n/a'"}),
+            country=_case(c, "c_mktsegment", {59: "NULL"}),
+            timezone=f"'UTC+' || {text(f'{c} % 12')}",
+        ),
+        _small(
+            "regions", "supplier", s,
+            region_name=_case(s, "s_name", {53: "'none'"}),
+            # some cities do not exist, some did not pass
+            city_id=_case(s, text(f"{s} * 13"), {37: "''", 7: "'-1'"}),
+            delivery_base_fee=_case(s, text("s_acctbal"), {31: "'free'"}),
+        ),
+        _small(
+            "segments", "customer", c,
+            segment_name=_case(c, _pick(c, "Regular", "VIP"), {47: "'Gold'"}),
+            discount_pct=_case(c, text(f"{c} % 30"), {53: "'x'", 61: "''"}),
+            priority_support=_case(c, _pick(c, "True", "0", "false"), {67: "'yes'"}),
+        ),
+        _small("categories", "part", p, category_name=_case(p, "p_brand", {43: "' NA '"})),
+        _small("teams", "supplier", s, team_name=_case(s, "s_name", {29: "NULL"})),
+        _small(
+            "reason_categories", "part", p,
+            category_name=_case(p, _pick(p, "Delivery", "Food", "Payment"), {41: "'Other'"}),
+        ),
+        _small(
+            "reasons", "part", p,
+            reason_name="p_name",
+            # some categories do not exist, some did not pass
+            reason_category_id=_case(p, text("p_size"), {59: "'99999999'", 61: "'nan'"}),
+            severity_level=_case(p, text(f"{p} % 5"), {37: "'3.0'", 43: "'high'"}),
+            typical_refund_pct=text("p_retailprice / 8"),
+        ),
+        _small(
+            "channels", "events", e,
+            channel_name=_case(e, _pick(e, "app", "chat", "phone", "email"), {71: "'fax'", 73: "NULL"}),
+        ),
+        _small(
+            "priorities", "orders", o,
+            priority_code=_case(o, f"CASE WHEN {level} = '5' THEN 'P4' ELSE 'P' || {level} END", {79: "'P9'"}),
+            priority_name=_pick(o, "Critical", "High", "Medium", "Low"),
+            sla_first_response_min=_case(o, text(f"{o} % 60"), {83: "''"}),
+            sla_resolution_min=text(f"{o} % 600"),
+        ),
+    )
+
+
+LOOKUPS: dict[str, Fixture] = {f.entity: f for f in _lookups()}
+#: fixtures of all 16 entities
+EVERY: dict[str, Fixture] = LOOKUPS | FIXTURES
+
 #: key columns of the tables the facts refer to; every fiftieth customer and
 #: ticket has not arrived yet
 PARENTS: dict[str, dict[str, tuple[str, str, str]]] = {

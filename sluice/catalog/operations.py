@@ -24,7 +24,7 @@ from sluice.operators.quarantine import (
     rule_alerts,
     volume_alerts,
 )
-from sluice.operators.schema import typed
+from sluice.operators.schema import restored as retyped
 from sluice.plans.analytics import (
     daily_file_summary,
     duplicate_metrics,
@@ -329,7 +329,7 @@ def _register_restored(name: str, title: str) -> None:
     def restored(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Fact rows built back from the JSON of orphans whose parents arrived."""
         decided = _orphans(spark, sf_dir, name, _open_facts(spark, sf_dir, name))
-        resolved = typed(decided.where(F.col("outcome") == RESOLVED), entity)
+        resolved = retyped(decided.where(F.col("outcome") == RESOLVED), entity)
         orders = table(spark, sf_dir, "orders").selectExpr(
             "CAST(o_orderkey AS STRING) AS order_id", "CAST(o_orderkey % 25 AS INT) AS region_id"
         )

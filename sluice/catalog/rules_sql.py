@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sluice.catalog.fixtures import FIXTURES, PARENTS
+from sluice.catalog.fixtures import EVERY, PARENTS
 from sluice.functions.casts import FALSE_TOKENS, NUMBER, TIMESTAMP, TRUE_TOKENS
 from sluice.functions.text import PLACEHOLDERS, SCHEMA_NULLS
 from sluice.operators.records import (
@@ -158,7 +158,7 @@ def orphan_case(name: str, entity: Entity) -> str:
 
 def tagged_ctes(name: str, prefix: str = "") -> str:
     """CTEs ending in ``{prefix}tagged``: raw columns, _file, _row, reject_stage, reject_rule."""
-    fixture = FIXTURES[name]
+    fixture = EVERY[name]
     entity = fixture.spec
     key = number(entity.key) if entity.column(entity.key).dtype == "int" else entity.key
     p = prefix

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.catalog.fixtures import FIXTURES, STATUS_OF_EVENT, parent_frames, table
+from sluice.catalog.fixtures import EVERY, FIXTURES, STATUS_OF_EVENT, parent_frames, table
 from sluice.catalog.registry import register
 from sluice.catalog.rules_sql import cast_sql, schema_cases, tagged_ctes, when
 from sluice.functions.pii import mask
@@ -133,7 +133,7 @@ SQL_TYPES = {"int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"
 
 def conformed_sql(name: str, source: str, computed: dict[str, str] | None = None) -> str:
     """Columns of the entity's table over typed rows, without the load time."""
-    entity = FIXTURES[name].spec
+    entity = EVERY[name].spec
     cells = []
     for f in table_schema(entity.table).fields:
         if f.name == "_loaded_at" or f.name.endswith("_sk"):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from sluice.functions.casts import (
     FALSE_TOKENS,
     TRUE_TOKENS,
+    coerce,
     from_text,
     number_limit,
     number_or_nan,
@@ -112,3 +113,13 @@ def typed(df: DataFrame, entity: Entity, *keep: str) -> DataFrame:
     return df.selectExpr(
         *[f"{from_text(c.name, c.dtype)} AS {c.name}" for c in entity.columns], *keep
     )
+
+
+def restored(df: DataFrame, entity: Entity, *keep: str) -> DataFrame:
+    """Cast raw texts that come back out of quarantine to the declared types.
+
+    Unlike in :func:`typed` blanks around a number or time do not count, and
+    the words that stand for null in a retry are null.  Texts stay as they are.
+    """
+    cells = [c.name if c.dtype == "str" else coerce(c.name, c.dtype) for c in entity.columns]
+    return df.selectExpr(*[f"{v} AS {n}" for v, n in zip(cells, entity.names)], *keep)

@@ -26,7 +26,7 @@ from sluice.functions.times import older_than
 from sluice.operators.insert import absent_rows
 from sluice.operators.integrity import MISSING, arrived_keys, with_missing_keys
 from sluice.operators.quarantine import from_raw
-from sluice.operators.schema import typed
+from sluice.operators.schema import restored
 from sluice.plans.ingest import build_rows, moment, parents_of
 from sluice.plans.retry import (
     MAX_RETRIES,
@@ -279,7 +279,7 @@ def _run(found: OpenSet, as_of: datetime, hours: int, max_retries: int) -> dict[
         resolved = _documents(rows.where(F.col("outcome") == RESOLVED), found, taken)
         raw = from_raw(resolved, entity).select(*entity.names, *place)
         built = build_rows(
-            entity, typed(_no_placeholders(raw, entity), entity, *place), warehouse, moment(as_of), *place
+            entity, restored(_no_placeholders(raw, entity), entity, *place), warehouse, moment(as_of), *place
         )
         existing = warehouse.read(entity.table, but_batch=batch_id)
         # of copies the one that was quarantined first is restored

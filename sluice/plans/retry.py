@@ -17,7 +17,7 @@ from sluice.functions.times import older_than
 from sluice.operators.insert import absent_rows
 from sluice.operators.integrity import flag_raw_orphans
 from sluice.operators.quarantine import from_raw
-from sluice.operators.schema import typed
+from sluice.operators.schema import restored
 from sluice.plans.ingest import build_rows, moment, parents_of
 from sluice.session import stage, temporary_stages
 from sluice.sources.warehouse import Warehouse
@@ -200,7 +200,7 @@ def _retry(
                 *entity.names, *place
             )
             built = build_rows(
-                entity, typed(resolved, entity, *place), warehouse, moment(as_of), *place
+                entity, restored(resolved, entity, *place), warehouse, moment(as_of), *place
             )
             existing = warehouse.read(entity.table, but_batch=batch_id)
             # of copies the one that was quarantined first is restored

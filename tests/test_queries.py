@@ -25,6 +25,7 @@ SELECTED = (
     "orders_by_calendar_day", "events_by_clock_minute", "insert_if_absent", "retry_outcome",
     "recent_quarantine", "ledger_current", "files_to_process", "status_transitions",
     "csv_round_trip", "file_md5_scan", "sla_performance_view", "failed_files_top20",
+    "dim_region_build", "json_round_trip", "quarantine_backup",
 )
 #: queries of this package; those of the pipeline operators have tests of their own
 OWN = all_queries()
