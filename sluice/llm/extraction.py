@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -43,6 +44,8 @@ CLOSES_P = BLOCKS - frozenset("li dd dt td th tr tbody thead tfoot caption body
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: what keeps an end of one kind from reaching further out
 FENCES = {"li": frozenset("ul ol menu dir".split()), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "tr": frozenset(["table"]), "td": frozenset(["table"]), "th": frozenset(["table"]), "option": frozenset(["select"])}
+#: inside main parts, the elements that may be template although they have words: whole blocks, no headings or cells
+WHOLE = BLOCKS - frozenset("h1 h2 h3 h4 h5 h6 hgroup li dd dt td th tr tbody thead tfoot caption figcaption legend article main body".split())
 TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption".split())
 
 
@@ -206,8 +209,53 @@ def candidates(root: Node) -> dict[bytes, bool]:
     return found
 
 
+#: stands before the mark of a block with words inside a main part; alone, the pages themselves
+INNER = b"\x01"
+
+
+def text_blocks(root: Node, n_words: int) -> list[Node]:
+    """Blocks with words inside the main parts, outer before inner ones, each of under half of the page's words.
+
+    A page without main parts has none.
+    """
+    found: list[Node] = []
+    todo = [c for part in main_parts(root) if part is not root for c in part.children]
+    for node in todo:
+        if isinstance(node, str) or unwanted(node, True):
+            continue
+        if node.tag in WHOLE and 0 < 2 * node.words < n_words:
+            found.append(node)
+        todo.extend(node.children)
+    return found
+
+
+def recurring_blocks(root: Node, template: frozenset[bytes]) -> set[int]:
+    """The blocks (by identity) that are the site's; none if they are half of the page's words or more.
+
+    Copies of one page with small changes share most of their text, so
+    what they share is theirs and stays.
+    """
+    if not any(len(mark) > 8 for mark in template):
+        return set()
+    n_words = len(WORD.findall(main_text(root, frozenset())))
+    found, inside, words = set(), set(), 0
+    for node in text_blocks(root, n_words):
+        if id(node) not in inside and INNER + node.mark in template:
+            found.add(id(node))
+            inside.update(map(id, _order(node)))
+            words += node.words
+    return found if 2 * words < n_words else set()
+
+
+def page_sketch(words: list[str]) -> bytes:
+    """The least hash of three words in a row: nearly always the same for copies with small changes."""
+    runs = zip(words, words[1:], words[2:]) if len(words) > 2 else [words]
+    return min(zlib.crc32(" ".join(run).encode()) for run in runs).to_bytes(4, "big")
+
+
 def main_text(root: Node, template: frozenset[bytes]) -> str:
     """Blocks of the main parts, without unwanted and template subtrees."""
+    recurring = recurring_blocks(root, template)
     blocks: list[str] = []
     held: list[str] = []
 
@@ -226,7 +274,7 @@ def main_text(root: Node, template: frozenset[bytes]) -> str:
             elif isinstance(item, str):
                 held.append(item)
             else:
-                if item is not part and (unwanted(item, True) or (item.mark in template and not _is_main(item) and (part is root or not _kept(item)))):
+                if item is not part and (unwanted(item, True) or id(item) in recurring or (item.mark in template and not _is_main(item) and (part is root or not _kept(item)))):
                     held.append(" ")
                     continue
                 if item.tag == "br":
@@ -250,6 +298,11 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     Pages are told apart by the hash of their whole tree, so copies of one
     page do not make its parts a template.  A subtree counts once a page;
     counts are summed per task before they meet.
+
+    Blocks with words inside main parts (mark after INNER) are judged more
+    strictly, as pages quote each other: there a sketch tells pages apart, so
+    copies with small changes count once; a block has to be on TEXT_SHARE of
+    the host's pages, and so on at least half of the hosts that have it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,6 +320,13 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
                     hosts.append(host)
                     marks.append(mark)
                     whole.append(page)
+                words = WORD.findall(main_text(root, frozenset()).lower())
+                sketch = page_sketch(words)
+                for mark in {INNER, *(INNER + n.mark for n in text_blocks(root, len(words)))}:
+                    much.append(False)
+                    hosts.append(host)
+                    marks.append(mark)
+                    whole.append(sketch)
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(marks, pa.binary()), pa.array(whole, pa.binary()), pa.array(much, pa.bool_())], ["host", "mark", "page", "much"])
 
     slim = pages.select(host_of(F.col("url")).alias("host"), text_of("html").alias("html"))
@@ -274,16 +334,30 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     # one row for each different page of a host and subtree
     seen = seen.groupBy("host", "mark", "page").agg(F.max("much").alias("much"))
     counted = seen.groupBy("host", "mark").agg(F.count("*").alias("n"), F.max("much").alias("much"))
-    counted = stage(counted.where(f"n >= {min_pages}"), "subtrees")
-    pages_of = counted.where("mark = X''").select("host", F.col("n").alias("pages"))
-    return counted.where("mark <> X''").join(pages_of, "host").where(F.col("n") >= F.when(F.col("much"), max(min_share, TEXT_SHARE)).otherwise(min_share) * F.col("pages")).select("host", "mark")
+    counted = stage(counted.where(f"n >= {min_pages} OR length(mark) = 9"), "subtrees")
+    pages_of = counted.where("length(mark) = 0").select("host", F.col("n").alias("pages"))
+    share = F.when(F.col("much"), max(min_share, TEXT_SHARE)).otherwise(min_share)
+    outer = counted.where("length(mark) = 8").join(pages_of, "host").where(F.col("n") >= share * F.col("pages"))
+    return outer.select("host", "mark").unionByName(_inner_templates(counted, min_pages))
+
+
+def _inner_templates(counted: DataFrame, min_pages: int) -> DataFrame:
+    """(host, mark) of blocks inside main parts; a hot mark is one row for each host that has it."""
+    blocks = counted.where("length(mark) = 9").select("host", "mark", "n")
+    pages_of = counted.where("length(mark) = 1").select("host", F.col("n").alias("pages"))
+    often = blocks.where(f"n >= {min_pages}").join(pages_of, "host").where(F.col("n") >= TEXT_SHARE * F.col("pages"))
+    often = stage(often.select("host", "mark"), "text-blocks")
+    at_all = blocks.join(often.select("mark").distinct(), "mark", "left_semi").groupBy("mark").agg(F.count("*").alias("hosts"))
+    own = often.groupBy("mark").agg(F.count("*").alias("often")).join(at_all, "mark").where("2 * often >= hosts")
+    return often.join(own.select("mark"), "mark").select("host", "mark")
 
 
 def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text of every row.
 
     The text is empty for null and empty pages and for those without an
-    article.  Rows of one page_id are extracted one by one.
+    article.  A block inside main parts that is the site's goes, unless such
+    blocks hold half of the page's words.  Rows of one page_id are extracted one by one.
     """
     found = stage(templates(pages, min_pages, min_share), "templates")
     # a host's template: no more subtrees than min_share allows on its pages
