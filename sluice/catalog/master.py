@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.catalog.fixtures import EVERY, FIXTURES, LOOKUPS, PARENTS, parent_frames, table
+from sluice.catalog.operations import quarantine_cte
 from sluice.catalog.registry import register
 from sluice.catalog.rules_sql import cast_sql, is_null, number, tagged_ctes
 from sluice.catalog.star import _FACT_CELLS, _LOOKED_UP, conformed_sql, loaded_at, loaded_orders
@@ -277,9 +278,8 @@ def retry_job_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "quarantine_backup",
-    f"""WITH {tagged_ctes('customers')} SELECT CAST(DATE '2024-06-01' AS VARCHAR) AS day, reject_stage AS
-        rejection_stage, reject_rule AS rejection_rule, count(*) AS row_count FROM (SELECT DISTINCT * EXCLUDE
-        (_row, _schema, _before, _dup, _rule, _fk) FROM tagged WHERE reject_stage IS NOT NULL) AS q GROUP BY 1, 2, 3""",
+    f"""WITH {quarantine_cte('customers')} SELECT '2024-06-01' AS day, rejection_stage, rejection_rule,
+        count(*) AS row_count FROM q GROUP BY 2, 3""",
 )
 def quarantine_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The CSV copies that a load leaves of its quarantine, read back and counted by rule."""
