@@ -58,7 +58,8 @@ def maintain(warehouse: Warehouse, loads: list[str]) -> None:
     names = [*table_schema(TABLE).names, BATCH_ID]
     (
         counts.select(*names)
-        .coalesce(1)
+        # a file a load while they are small; in tasks of even size when not
+        .hint("rebalance", BATCH_ID)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH_ID)

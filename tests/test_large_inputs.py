@@ -1,9 +1,14 @@
 """What keeps time and memory in proportion to the input."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from sluice.operators.integrity import flag_missing
+from sluice.plans.dims import conform
 from sluice.session import as_large, fits_broadcast, stage
+from sluice.sources.warehouse import Warehouse
+from sluice.streaming import figures
 
 
 def test_many_rows_of_small_files_are_not_broadcast(spark):
@@ -21,3 +26,33 @@ def test_missing_keys_of_many_parents(spark):
     child = spark.createDataFrame([("5",), ("400000",), (None,)], "fk string")
     found = flag_missing(child, F.col("fk"), parents, "key", "missing", as_text=True)
     assert {r["fk"]: bool(r["missing"]) for r in found.collect()} == {"5": False, "400000": True, None: False}
+
+
+def test_a_large_load_is_counted_by_several_tasks(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w")).create()
+    rows = spark.range(200_000).selectExpr(
+        "CAST(id AS STRING) AS ticket_id", "CAST(id AS INT) AS agent_id",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS created_at",
+    )
+    warehouse.write_load("fact_ticket", conform(rows, "fact_ticket"), "one")
+    adaptive = "spark.sql.adaptive."
+    sizes = {
+        f"{adaptive}advisoryPartitionSizeInBytes": "64k",
+        f"{adaptive}coalescePartitions.minPartitionSize": "16k",
+        f"{adaptive}coalescePartitions.parallelismFirst": "false",
+    }
+    for key, size in sizes.items():
+        spark.conf.set(key, size)
+    try:
+        figures.maintain(warehouse, ["one"])
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    folder = Path(warehouse.path(figures.TABLE))
+    assert len(list(folder.glob("_batch_id=one/*.parquet"))) > 1
+    assert warehouse.read(figures.TABLE).agg(F.sum("total_tickets")).first()[0] == 200_000
+    # a small load stays one file
+    few = spark.createDataFrame([("t", 1)], "ticket_id string, agent_id int")
+    warehouse.write_load("fact_ticket", conform(few, "fact_ticket"), "two")
+    figures.maintain(warehouse, ["two"])
+    assert len(list(folder.glob("_batch_id=two/*.parquet"))) == 1
