@@ -1,15 +1,26 @@
 """What keeps time and memory in proportion to the input."""
 
+import re
 from pathlib import Path
 
+from helpers import raw_frame, row
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
+from sluice.operators.cascade import tag
 from sluice.operators.integrity import flag_missing
 from sluice.plans.dims import conform
 from sluice.session import as_large, fits_broadcast, stage
 from sluice.sources.warehouse import Warehouse
+from sluice.spec import ENTITIES
 from sluice.streaming import figures
 
+SMALL = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
 
 def test_many_rows_of_small_files_are_not_broadcast(spark):
     keys = stage(spark.range(400_000).selectExpr("CAST(id AS STRING) AS key"), "keys")
@@ -28,6 +39,19 @@ def test_missing_keys_of_many_parents(spark):
     assert {r["fk"]: bool(r["missing"]) for r in found.collect()} == {"5": False, "400000": True, None: False}
 
 
+def test_texts_are_parsed_above_the_joins_and_once(spark):
+    tickets = plan(queries()["typed_tickets"](spark, SMALL))
+    assert not [line for line in tickets.splitlines() if "Join" in line and "RLIKE" in line]
+    assert len(re.findall(r"try_cast\(resolved_at#\d+ as timestamp_ntz\)", tickets)) == 1
+
+
+def test_rules_are_evaluated_once_for_all_readers_of_the_tags(spark):
+    rows = [row("customers"), row("customers"), row("customers", customer_id="x")]
+    tagged = tag(raw_frame(spark, "customers", rows), ENTITIES["customers"])
+    assert "[.]com" not in plan(tagged.where("reject_stage IS NOT NULL"))
+    assert [r["reject_rule"] for r in tagged.orderBy("_row").collect()] == [None, "duplicate", "dtype:customer_id"]
+
+
 def test_a_large_load_is_counted_by_several_tasks(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "w")).create()
     rows = spark.range(200_000).selectExpr(
