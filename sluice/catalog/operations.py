@@ -64,9 +64,11 @@ def union_all(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def tagged_all(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> list[DataFrame]:
+def tagged_all(
+    spark: SparkSession, sf_dir: str, names: Iterable[str], keep: list[str] | None = None
+) -> list[DataFrame]:
     """The tagged rows of several entities; their cascades do not depend on each other."""
-    return side_by_side(lambda name: tagged_fixture(spark, sf_dir, name), names)
+    return side_by_side(lambda name: tagged_fixture(spark, sf_dir, name, keep), names)
 
 
 def quarantine_of(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
@@ -152,7 +154,7 @@ _ALL_RULES = " UNION ALL ".join(
         WHERE reject_stage = 'schema' GROUP BY 1, 2""",
 )
 def alerts_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return union_all(map(rule_alerts, tagged_all(spark, sf_dir, ALL)))
+    return union_all(map(rule_alerts, tagged_all(spark, sf_dir, ALL, [FILE])))
 
 
 @register(
@@ -413,13 +415,13 @@ _ALL_COUNTS = " UNION ALL ".join(f"SELECT _file, {_COUNTS} FROM {n}_tagged GROUP
 
 @register("file_audit", f"{_ALL_TAGGED} {_ALL_COUNTS}")
 def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return union_all(map(file_counts, tagged_all(spark, sf_dir, ALL)))
+    return union_all(map(file_counts, tagged_all(spark, sf_dir, ALL, [FILE])))
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An audit log of all files, some of them taken as failed."""
     log = None
-    for name, tagged in zip(ALL, tagged_all(spark, sf_dir, ALL)):
+    for name, tagged in zip(ALL, tagged_all(spark, sf_dir, ALL, [FILE])):
         e = ENTITIES[name]
         part = file_counts(tagged).select(
             F.col(FILE).alias("file_path"),

@@ -29,9 +29,12 @@ from sluice.operators.records import null_columns
 from sluice.operators.schema import typed_passed
 
 
-def tagged_fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def tagged_fixture(
+    spark: SparkSession, sf_dir: str, name: str, keep: list[str] | None = None
+) -> DataFrame:
     fixture = FIXTURES[name]
-    return tag(fixture.frame(spark, sf_dir), fixture.spec, parent_frames(spark, sf_dir, name))
+    parents = parent_frames(spark, sf_dir, name)
+    return tag(fixture.frame(spark, sf_dir), fixture.spec, parents, keep=keep)
 
 
 def _typed_sql(name: str) -> str:
@@ -69,14 +72,15 @@ def _register_rules(name: str) -> None:
     fixture = FIXTURES[name]
     key = fixture.spec.key
     by_row = [] if fixture.order else [ROW]
-    columns = [key, FILE, *by_row, STAGE, RULE]
+    kept = [key, FILE, *by_row]
+    columns = [*kept, STAGE, RULE]
 
     @register(
         f"record_rules_{name}",
         f"WITH {tagged_ctes(name)} SELECT {', '.join(columns)} FROM tagged",
     )
     def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return tagged_fixture(spark, sf_dir, name).select(*columns)
+        return tagged_fixture(spark, sf_dir, name, kept).select(*columns)
 
 
 for _name in FIXTURES:

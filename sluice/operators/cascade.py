@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +70,7 @@ def tag(
     entity: Entity,
     parents: Mapping[str, DataFrame] | None = None,
     null_mode: str = "any",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Tag every row with ``reject_stage`` and ``reject_rule``; clean rows have nulls.
 
@@ -78,22 +79,25 @@ def tag(
     staged with the rows.  Duplicates are looked for among rows that pass the
     schema, null and placeholder rules and before the format and range rules:
     a first row that fails its format still makes the next copy a duplicate.
+    With ``keep`` the rows have these columns only, and no others are staged.
     """
     if entity.foreign_keys:
         joined = flag_raw_orphans(df, entity, parents or {}, "_orphan_fk")
     else:
         joined = df.withColumn("_orphan_fk", F.lit(None).cast("string"))
-    found = ("_schema", "_before", "_late", "_orphan_fk")
-    judged = stage(_judged(with_values(joined, entity), entity, null_mode).select(*df.columns, *found), "judged")
+    names = list(keep or df.columns)
+    found = ["_schema", "_before", "_late", "_orphan_fk"]
+    staged = dict.fromkeys([*names, entity.key, FILE, ROW, *found])
+    judged = stage(_judged(with_values(joined, entity), entity, null_mode).select(*staged), "judged")
 
     keys, order = dedup_keys(entity), F.col(ROW)
     firsts = repeated_keys(judged, keys, order, among=F.col("_before").isNull())
     late = f"CASE WHEN {ROW} > _first THEN 'duplicate' END"
     return (
         with_first(judged, keys, stage(firsts, "repeated"))
-        .selectExpr(*df.columns, "_schema", "_orphan_fk", f"coalesce(_before, {late}, _late) AS _rule")
+        .selectExpr(*names, "_schema", "_orphan_fk", f"coalesce(_before, {late}, _late) AS _rule")
         .selectExpr(
-            *df.columns,
+            *names,
             f"coalesce(_rule, 'fk:' || _orphan_fk) AS {RULE}",
             "CASE WHEN _schema IS NOT NULL THEN 'schema' WHEN _rule IS NOT NULL THEN 'records' "
             f"WHEN _orphan_fk IS NOT NULL THEN 'orphan' END AS {STAGE}",

@@ -52,6 +52,14 @@ def test_rules_are_evaluated_once_for_all_readers_of_the_tags(spark):
     assert [r["reject_rule"] for r in tagged.orderBy("_row").collect()] == [None, "duplicate", "dtype:customer_id"]
 
 
+def test_only_the_columns_asked_for_are_staged(spark):
+    rows = [row("customers"), row("customers"), row("customers", email="x")]
+    tagged = tag(raw_frame(spark, "customers", rows), ENTITIES["customers"], keep=["_file"])
+    assert tagged.columns == ["_file", "reject_rule", "reject_stage"]
+    assert "email" not in plan(tagged)
+    assert sorted(str(r["reject_rule"]) for r in tagged.collect()) == ["None", "duplicate", "duplicate"]
+
+
 def test_a_large_load_is_counted_by_several_tasks(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "w")).create()
     rows = spark.range(200_000).selectExpr(
