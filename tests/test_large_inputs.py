@@ -12,6 +12,8 @@ from sluice.operators.integrity import flag_missing
 from sluice.plans.dims import conform
 from sluice.session import as_large, fits_broadcast, stage
 from sluice.sources.warehouse import Warehouse
+from sluice.operators.cascade import FILE, RULE, STAGE
+from sluice.operators.quarantine import quarantine_rows
 from sluice.spec import ENTITIES
 from sluice.streaming import figures
 
@@ -88,3 +90,22 @@ def test_a_large_load_is_counted_by_several_tasks(spark, tmp_path):
     warehouse.write_load("fact_ticket", conform(few, "fact_ticket"), "two")
     figures.maintain(warehouse, ["two"])
     assert len(list(folder.glob("_batch_id=two/*.parquet"))) == 1
+
+
+def test_rejects_are_found_once_without_sorting(spark):
+    entity = ENTITIES["ticket_events"]
+    rules = [("a.json", "1", "records", "null:event_ts"), ("a.json", "1", "records", "duplicate"), ("b.json", "1", "records", "duplicate")]
+    rows = [(f, rule, stage_, key, *["x"] * (len(entity.names) - 1)) for f, key, stage_, rule in rules]
+    tagged = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in (FILE, RULE, STAGE, *entity.names)))
+    found = quarantine_rows(tagged, entity, F.lit("2024-01-01").cast("timestamp_ntz"))
+    got = sorted((r["source_file"], r["rejection_rule"]) for r in found.collect())
+    assert got == [("a.json", "duplicate"), ("b.json", "duplicate")]
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    without = quarantine_rows(tagged, entity, F.lit("2024-01-01").cast("timestamp_ntz"), texts=False)
+    assert sorted(map(tuple, without.collect())) == sorted(map(tuple, found.drop("raw_data").collect()))
+
+
+def test_wide_rows_are_not_sorted_to_meet_repeated_keys(spark):
+    keys = stage(spark.range(400_000).selectExpr("CAST(id AS STRING) AS key"), "keys")
+    joined = keys.limit(10).join(as_large(keys), "key", "left")._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in joined and "SortMergeJoin" not in joined
