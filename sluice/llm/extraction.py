@@ -50,13 +50,15 @@ TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption".
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "mark", "words")
+    __slots__ = ("tag", "attrs", "children", "mark", "words", "hidden")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag, self.attrs = tag, attrs
         self.children: list[Node | str] = []
         self.mark = b""
         self.words = 0
+        #: what the attributes say, once it has been asked for
+        self.hidden: bool | None = None
 
 
 class Tree(HTMLParser):
@@ -145,6 +147,13 @@ def unwanted(node: Node, in_main: bool) -> bool:
     if node.tag in CHROME:
         # the heading of an article may stand in a header of its own
         return not (node.tag == "header" and in_main)
+    if node.hidden is None:
+        node.hidden = bool(node.attrs) and _hidden(node)
+    return node.hidden
+
+
+def _hidden(node: Node) -> bool:
+    """Whether the role, the style or a name keep an element out of an article."""
     if node.attrs.get("role", "").lower() in ROLES or "hidden" in node.attrs or node.attrs.get("aria-hidden", "") == "true":
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", node.attrs.get("style", ""), re.I):
@@ -153,7 +162,7 @@ def unwanted(node: Node, in_main: bool) -> bool:
 
 
 def _is_main(node: Node) -> bool:
-    return node.tag in ("article", "main") or node.attrs.get("role", "").lower() in ("main", "article")
+    return node.tag in ("article", "main") or ("role" in node.attrs and node.attrs["role"].lower() in ("main", "article"))
 
 
 def main_parts(root: Node) -> list[Node]:
@@ -249,8 +258,10 @@ def recurring_blocks(root: Node, template: frozenset[bytes]) -> set[int]:
 
 def page_sketch(words: list[str]) -> bytes:
     """The least hash of three words in a row: nearly always the same for copies with small changes."""
-    runs = zip(words, words[1:], words[2:]) if len(words) > 2 else [words]
-    return min(zlib.crc32(" ".join(run).encode()) for run in runs).to_bytes(4, "big")
+    whole = " ".join(words).encode()
+    found = whole.split(b" ")
+    runs = map(b" ".join, zip(found, found[1:], found[2:])) if len(found) > 2 else [whole]
+    return min(map(zlib.crc32, runs)).to_bytes(4, "big")
 
 
 def main_text(root: Node, template: frozenset[bytes]) -> str:

@@ -1,6 +1,7 @@
 """What a site repeats inside its articles goes by counts alone; quoted text and copies stay."""
 
 import random
+import zlib
 from collections import defaultdict
 
 from sluice.llm import extraction
@@ -85,3 +86,23 @@ def test_rest_of_site_stays_cut(spark):
     assert len(text) == 23 and text[900] == text[902] == ""
     # an address without a host is one host with one page here
     assert "Our team" in text[901] and all("Our team" not in text[i] for i in range(20))
+
+
+def test_attributes_are_looked_at_once_for_each_element(monkeypatch):
+    looked = []
+    hidden = extraction._hidden
+    monkeypatch.setattr(extraction, "_hidden", lambda node: looked.append(node.tag) or hidden(node))
+    root = extraction.tree('<body><main><div class="x"><p>two words</p></div><section class="promo">more words</section></main></body>')
+    extraction.set_marks(root)
+    extraction.set_words(root)
+    extraction.candidates(root)
+    assert extraction.main_text(root, frozenset()) == "two words"
+    extraction.text_blocks(root, 2)
+    assert sorted(looked) == ["div", "section"]
+
+
+def test_sketch_is_the_least_hash_of_three_words():
+    for n in (0, 1, 2, 3, 4, 50):
+        words = [f"wört{'abc'[i % 3]}{chr(97 + i % 26)}" for i in range(n)]
+        runs = [" ".join(words[i : i + 3]) for i in range(max(1, n - 2))]
+        assert extraction.page_sketch(words) == min(zlib.crc32(r.encode()) for r in runs).to_bytes(4, "big")
