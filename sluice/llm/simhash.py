@@ -173,7 +173,8 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     at, of, digest = (_free(name, docs) for name in ("_id", "_of", "_digest"))
     marks = stage(marks.select(F.col("id").alias(at), F.col("digest").alias(of), "taken"), "marks")
     taken_rows = marks.where("taken").drop("taken")
-    keyed = docs.withColumn(digest, digest_of(text_of()))
+    # a digest is never null, but said here both joins below read one and the same shuffle of the texts
+    keyed = docs.withColumn(digest, digest_of(text_of())).where(F.col(digest).isNotNull())
     same = F.col(id_column).cast("long").eqNullSafe(F.col(at)) & (F.col(digest) == F.col(of))
     single = keyed.join(marks.drop("taken"), same, "left_anti")
     repeated = keyed.join(taken_rows, same, "left_semi").dropDuplicates([id_column, digest])

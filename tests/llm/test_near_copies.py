@@ -123,3 +123,11 @@ def test_texts_that_quote_one_passage_are_not_all_compared(spark):
     rows += [(100 + i, changed(rng, rows[i][1], 1), "a") for i in range(5)]
     kept = simhash.keep_one(spark.createDataFrame(rows, DOCS))
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(60))
+
+
+def test_both_choices_of_rows_read_one_shuffle_of_the_texts(spark):
+    rows = [(i, " ".join(f"w{i // 2}x{k}" for k in range(40)), "a") for i in range(6)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, DOCS))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    # the same filter on both sides, or the shuffles below the joins differ and none is used again
+    assert sum("Filter" in line and "isnotnull(unhex(md5" in line for line in plan.splitlines()) == 2
