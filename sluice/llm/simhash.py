@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import slices, text_of
+from sluice.llm.common import sieve, slices, text_of
 from sluice.llm.components import components
 from sluice.llm.near_copies import digest_of, near_copies
 from sluice.session import stage
@@ -173,12 +173,17 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     at, of, digest = (_free(name, docs) for name in ("_id", "_of", "_digest"))
     marks = stage(marks.select(F.col("id").alias(at), F.col("digest").alias(of), "taken"), "marks")
     taken_rows = marks.where("taken").drop("taken")
+    keyed = docs.withColumn(digest, digest_of(text_of()))
+    # most rows stay and have no mark: only those that may have one are shuffled
+    part = sieve(marks, F.struct(at, of))
+    key = F.struct(F.col(id_column).cast("long"), digest)
+    alone = part(keyed, key, False)
     # a digest is never null, but said here both joins below read one and the same shuffle of the texts
-    keyed = docs.withColumn(digest, digest_of(text_of())).where(F.col(digest).isNotNull())
+    keyed = part(keyed.where(F.col(digest).isNotNull()), key, True)
     same = F.col(id_column).cast("long").eqNullSafe(F.col(at)) & (F.col(digest) == F.col(of))
     single = keyed.join(marks.drop("taken"), same, "left_anti")
     repeated = keyed.join(taken_rows, same, "left_semi").dropDuplicates([id_column, digest])
-    return single.union(repeated).drop(digest)
+    return alone.union(single).union(repeated).drop(digest)
 
 
 def _free(name: str, docs: DataFrame) -> str:

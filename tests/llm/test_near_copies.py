@@ -3,9 +3,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sluice.llm import near_copies, simhash
+from sluice.llm.common import sieve
 
 DOCS = "doc_id long, text string, source string"
 
@@ -131,3 +133,24 @@ def test_both_choices_of_rows_read_one_shuffle_of_the_texts(spark):
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     # the same filter on both sides, or the shuffles below the joins differ and none is used again
     assert sum("Filter" in line and "isnotnull(unhex(md5" in line for line in plan.splitlines()) == 2
+
+
+def test_rows_that_meet_no_mark_are_parted_from_those_that_may(spark):
+    rows = spark.range(20_000).selectExpr("if(id = 7, null, id) AS k", "cast(id AS string) AS text")
+    part = sieve(rows.where("k % 1000 = 3 OR k IS NULL"), F.col("k"))
+    may, free = part(rows, F.col("k"), True), part(rows, F.col("k"), False)
+    assert may.columns == free.columns == rows.columns
+    assert may.where("k % 1000 = 3").count() == 20 and may.where("k IS NULL").count() == 1
+    assert may.count() < 500 and may.count() + free.count() == 20_000 and may.join(free, "text").count() == 0
+    none = sieve(rows.limit(0), F.col("k"))
+    assert none(rows, F.col("k"), True).count() == 0 and none(rows, F.col("k"), False).count() == 20_000
+
+
+def test_texts_without_a_mark_are_not_shuffled(spark):
+    rows = [(i, " ".join(f"w{max(i, 2)}x{k}" for k in range(40)), "a") for i in range(300)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, DOCS))
+    plan = kept._jdf.queryExecution().optimizedPlan()
+    # the first part of the result is a join with the broadcast bits alone
+    parts = [str(plan.children().apply(i).toString()) for i in range(plan.children().size())]
+    assert plan.nodeName() == "Union" and [p.count("Join LeftAnti") + p.count("Join LeftSemi") for p in parts] == [0, 1, 1]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, *range(3, 300)]
