@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from sluice.llm import near_copies, simhash
 from sluice.llm.common import sieve
+from sluice.session import stage
 
 DOCS = "doc_id long, text string, source string"
 
@@ -154,3 +155,26 @@ def test_texts_without_a_mark_are_not_shuffled(spark):
     parts = [str(plan.children().apply(i).toString()) for i in range(plan.children().size())]
     assert plan.nodeName() == "Union" and [p.count("Join LeftAnti") + p.count("Join LeftSemi") for p in parts] == [0, 1, 1]
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, *range(3, 300)]
+
+
+def test_no_pairs_are_made_of_copies_that_share_too_little(spark, monkeypatch):
+    rng = random.Random(12)
+    base = " ".join(f"z{i}" for i in range(150))
+    rows = [(i, changed(rng, base, 4), "a") for i in range(30)]
+    rows.append((50, changed(rng, rows[3][1], 1), "a"))
+    want = sorted(g[0] for g in groups(rows))
+    made = []
+
+    def counted(df, name):
+        done = stage(df, name)
+        if name == "across":
+            made.append(done.count())
+        return done
+
+    monkeypatch.setattr(near_copies, "stage", counted)
+    docs = spark.createDataFrame(rows, DOCS)
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == want
+    monkeypatch.setattr(near_copies, "_profiles_allow", lambda *_: F.lit(True))
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == want
+    few, all_pairs = made
+    assert all_pairs > 100 and few < all_pairs / 5
