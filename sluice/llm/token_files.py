@@ -158,24 +158,29 @@ def _id_blocks(docs: DataFrame, tokenizer: str, block: int, end_id: int, added_t
     """Runs of documents in ascending id order with their ids, 16 bits each where they fit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, added_tokens).encode
-        end = np.array([end_id], dtype="<u4").tobytes()
+        runs = encoder(tokenizer, added_tokens).runs
         kind = id_kind(tokenizer)
         shard, number = TaskContext.get().partitionId(), 0
         names, sizes, parts, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            row = [[shard], [number], [np.array(names, "<i8").tobytes()], [np.array(sizes, "<u4").tobytes()], [b"".join(parts)]]
+            row = [[shard], [number], [b"".join(names)], [b"".join(sizes)], [b"".join(parts)]]
             types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], ["shard", "block", "docs", "counts", "ids"])
 
         for batch in slices(batches, "text"):
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
-                whole = np.frombuffer(ids + end, dtype="<u4")
-                names.append(doc)
-                sizes.append(len(whole))
-                parts.append(whole.astype(kind).tobytes())
-                held += len(whole)
+            ids, counts = runs(batch.column("text"), end_id)
+            ids, docs = ids.astype(kind), batch.column("doc_id").to_numpy().astype("<i8")
+            ends = np.cumsum(counts)
+            first = done = 0
+            while first < len(docs):
+                last = min(int(np.searchsorted(ends, done + block - held)) + 1, len(docs))
+                end = int(ends[last - 1])
+                names.append(docs[first:last].tobytes())
+                sizes.append(counts[first:last].astype("<u4").tobytes())
+                parts.append(ids[done:end].tobytes())
+                held += end - done
+                first, done = last, end
                 if held >= block:
                     yield flush()
                     names, sizes, parts, held, number = [], [], [], 0, number + 1
