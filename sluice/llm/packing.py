@@ -39,13 +39,14 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, added_tokens).encode
-        end = np.array([end_id], dtype="<u4").tobytes()
+        runs = encoder(path, added_tokens).runs
         deal = random.Random(TaskContext.get().partitionId()).random
         for batch in slices(batches, "text"):
             rows = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
-                for k, (start, part) in enumerate(cut(ids + end, capacity)):
+            ids, sizes = runs(batch.column("text"), end_id)
+            data, ends = ids.tobytes(), (np.cumsum(sizes) * 4).tolist()
+            for doc, a, b in zip(batch.column("doc_id").to_pylist(), [0, *ends], ends):
+                for k, (start, part) in enumerate(cut(data[a:b], capacity)):
                     rows.append((doc, k, start, len(part) // 4, zlib.crc32(part), deal(), part if with_ids else None))
             columns = list(zip(*rows))
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.binary()]
