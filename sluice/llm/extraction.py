@@ -69,6 +69,10 @@ class Tree(HTMLParser):
         self.root = Node("html", {})
         self.path = [self.root]
 
+    def updatepos(self, i: int, j: int) -> int:
+        # nobody asks for line numbers
+        return j
+
     def _close(self, at: int) -> None:
         del self.path[at:]
 
@@ -119,20 +123,20 @@ def _order(root: Node) -> list[Node]:
     """All elements, parents before their children; no recursion, as pages may nest deeply."""
     found = [root]
     for node in found:
-        found.extend(c for c in node.children if isinstance(c, Node))
+        found += [c for c in node.children if isinstance(c, Node)]
     return found
 
 
 def set_marks(root: Node) -> None:
     """A hash of each subtree: its tag, the texts and the marks of its children in order."""
     for node in reversed(_order(root)):
-        digest = hashlib.blake2b(node.tag.encode(), digest_size=8)
+        content = [node.tag.encode()]
         for child in node.children:
             if isinstance(child, Node):
-                digest.update(b"<" + child.mark)
+                content.append(b"<" + child.mark)
             elif text := " ".join(child.split()):
-                digest.update(b">" + text.encode("utf-8", "surrogatepass") + b"\0")
-        node.mark = digest.digest()
+                content.append(b">" + text.encode("utf-8", "surrogatepass") + b"\0")
+        node.mark = hashlib.blake2b(b"".join(content), digest_size=8).digest()
 
 
 def _named(node: Node) -> bool:
@@ -186,7 +190,26 @@ def set_words(root: Node) -> None:
     for node in reversed(_order(root)):
         node.words = 0
         if node.tag != "a" and node.tag not in SILENT:
-            node.words = sum(c.words if isinstance(c, Node) else len(WORD.findall(c)) for c in node.children)
+            node.words = sum([c.words if isinstance(c, Node) else len(WORD.findall(c)) for c in node.children])
+
+
+def set_compared(root: Node, template: frozenset[bytes]) -> None:
+    """Marks and words of the elements that ``main_text`` compares with the template; others have no mark, or their own.
+
+    Inside a main part these are containers without words outside links, and
+    blocks if the template has any.  A page without main parts is compared whole.
+    """
+    parts = main_parts(root)
+    if parts[0] is root or any(len(mark) > 8 for mark in template):
+        set_marks(root)
+        set_words(root)
+        return
+    for part in parts:
+        containers = [n for n in _order(part)[1:] if n.tag in BLOCKS and n.tag not in TEXT]
+        if containers:
+            set_words(part)
+            if not all(n.words for n in containers):
+                set_marks(part)
 
 
 def _kept(node: Node) -> bool:
@@ -382,10 +405,10 @@ def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
             texts = []
             for html, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist()):
                 root = tree(html)
-                if template:
-                    set_marks(root)
-                    set_words(root)
-                texts.append(main_text(root, frozenset(template or ())))
+                marks = frozenset(template or ())
+                if marks:
+                    set_compared(root, marks)
+                texts.append(main_text(root, marks))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string"
