@@ -237,7 +237,8 @@ def place(found: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, island
             ends = pdf.groupby("bin")["length"].cumsum()
             pdf["offset"] = ends - pdf["length"]
             pdf["fill"] = pdf.groupby("bin")["length"].transform("sum")
-            pdf["sequence_id"] = key[0] * (1 << 24) + pdf["bin"]
+            # bins are 32 bits wide, the product is not
+            pdf["sequence_id"] = (key[0] << 24) + pdf["bin"].astype("int64")
             return pdf.drop(columns=["bin"])
 
         kept = [f"{c} {t}" for c, t in dealt.dtypes]

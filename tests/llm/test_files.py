@@ -137,6 +137,19 @@ def test_blocks_and_loose_bins(spark):
     assert len(loads) <= 1.02 * (max(bins) + 1)
 
 
+def test_sequence_ids_of_many_blocks(spark):
+    # from block 128 on the ids exceed 32 bits
+    rows = [(i, 0, 0, 5 + i % 40, 1, i / 700) for i in range(700)]
+    found = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long, deal double")
+    got = packing.place(found, capacity=64, block=4).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(700))
+    assert max(r["sequence_id"] for r in got) >= 1 << 31
+    loads = {}
+    for r in got:
+        loads[r["sequence_id"]] = loads.get(r["sequence_id"], 0) + r["length"]
+    assert max(loads.values()) <= 64
+
+
 def test_substrings(spark):
     rng = random.Random(6)
     words = [f"w{i}" for i in range(300)]
