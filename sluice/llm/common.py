@@ -12,10 +12,10 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.session import stage
+from sluice.operators.sieve import free_mark, sieve
+
+__all__ = ["free_mark", "named", "once", "open_folder", "put_file", "sieve", "slices", "table", "text_of", "words_of"]
 
-#: bits of a sieve for each of its rows, and most bits that one has (16 MB); bits of a page, as Spark's bitmaps have them
-SIEVE_BITS, SIEVE_MOST, PAGE = 16, 1 << 27, 1 << 15
 #: fixed values: the white space that separates words
 WHITE = "\t\n\x0b\x0c\r"
 
@@ -40,13 +40,6 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
-def free_mark(df: DataFrame, mark: str) -> str:
-    """A prefix like ``mark`` that no column of the table starts with, in either case."""
-    while any(c.lower().startswith(mark.lower()) for c in df.columns):
-        mark += "_"
-    return mark
-
-
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Adds a column that is computed once a row.
 
@@ -58,36 +51,6 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*kept, F.explode(F.array(value)).alias(name))
 
 
-def sieve(few: DataFrame, key: Column) -> Callable[[DataFrame, Column, bool], DataFrame]:
-    """Parts a table by its keys: rows that certainly have no equal in ``few``, or those that may have one.
-
-    Where a join meets few rows of a wide table, the others need not be
-    shuffled for it.  A bit is set for the hash of each key.  The pages of
-    bits are broadcast, 16 MB at most: with more rows than that is made for,
-    more of the table may have an equal and is shuffled, and nothing is lost.
-    """
-    wanted = few.count() * SIEVE_BITS
-    bits = min(SIEVE_MOST, max(1, -(-wanted // PAGE)) * PAGE)
-
-    def place(key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(bits)) + 1
-
-    set_bits = few.select(F.bitmap_bucket_number(place(key)).alias("page"), F.bitmap_bit_position(place(key)).alias("bit"))
-    pages = stage(set_bits.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")), "sieve")
-
-    def part(df: DataFrame, key: Column, may_have: bool) -> DataFrame:
-        mark = free_mark(df, "_v_")
-        page, held = f"{mark}page", f"{mark}bits"
-        own = pages.select(F.col("page").alias(page), F.col("bits").alias(held))
-        bit = F.bitmap_bit_position(place(key))
-        octet = F.conv(F.hex(F.substring(F.col(held), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-        found = F.coalesce(F.getbit(octet, (bit % 8).cast("int")) == 1, F.lit(False))
-        met = df.join(F.broadcast(own), F.bitmap_bucket_number(place(key)) == F.col(page), "left")
-        return met.where(found if may_have else ~found).drop(page, held)
-
-    return part
-
-
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator:
     """Record batches cut so that each holds about ``limit`` bytes of a text column."""
     for batch in batches:
