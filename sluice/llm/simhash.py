@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import sieve, slices, text_of
 from sluice.llm.components import components
 from sluice.llm.near_copies import digest_of, near_copies
+from sluice.llm.shingles import hashes_of, majority
 from sluice.session import stage
 
 #: words of a shingle, bits that linked fingerprints may differ in
@@ -25,20 +25,7 @@ PART_ROWS = 400_000
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """Bits set in more than half of the hashes of all shingles, repeats included."""
-    import xxhash
-
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    parts = [words[i:] for i in range(min(shingle, len(words)))]
-    digest = partial(xxhash.xxh64_intdigest, seed=42)
-    hashes = np.fromiter(map(digest, map(b" ".join, zip(*parts))), dtype="<u8")
-    counts = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 14):
-        octets = hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * counts > len(hashes), bitorder="little")
-    return int(bits.view("<u8")[0])
+    return majority(hashes_of(text, shingle))
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
@@ -160,11 +147,14 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Exactly one row of each group of near copies: one with the smallest id, a null id only if all are null.
 
     Groups are those of ``near_copies``: five-word shingles alike in 0.8 or
-    more.  The settings of fingerprints above are those of the digest query.
+    more.  Texts are proposed by the links of their SimHash fingerprints over
+    the same shingles, found by multi-index hashing as above, and by least
+    hashes, which also find copies whose fingerprints differ in more bits.
+    The exact similarity decides about all of them.
     Rows are told apart by id and text, so rows of one id with other texts
     are decided on their own; of rows alike in both one is taken.
     """
-    classes = stage(near_copies(docs, id_column), "copies")
+    classes = stage(near_copies(docs, id_column, fingerprint_links), "copies")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
     best = stage(classes.groupBy("node").agg(F.min(rank).alias("best")), "best")
     taken = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("digest") == F.col("best.digest"))
