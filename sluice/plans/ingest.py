@@ -40,6 +40,8 @@ from sluice.sources.files import (
     batch_plan,
     file_format,
     inventory,
+    large_arrays,
+    read_large_arrays,
     read_text_table,
     read_untyped,
 )
@@ -185,12 +187,14 @@ def _ingest(
     # file names only, as many as the scan itself lists on the driver
     todo = list(pending.select("path", "file_path", "columns").toLocalIterator())
     todo_paths = {r["path"] for r in todo}
+    arrays = [r["path"] for r in todo if r["path"].lower().endswith(".json")]
+    large = large_arrays(spark, arrays) if arrays else set()
     result.skipped = sorted(
         r["path"]
         for r in found.select("path").toLocalIterator()
         if r["path"] not in todo_paths
     )
-    #: paths by format and, for CSV, the order of the columns
+    #: paths by format, for CSV the order of the columns, and whether a JSON array is read in pieces
     good: dict[tuple, list[str]] = {}
     bad, unreadable = {}, set()
     for r in todo:
@@ -207,7 +211,10 @@ def _ingest(
         if missing or extra:
             bad[path] = f"missing columns {missing}, extra columns {extra}"
         else:
-            good.setdefault((fmt, tuple(names) if fmt == "csv" else None), []).append(path)
+            header = tuple(names) if fmt == "csv" else None
+            # the names of large arrays were read in pieces, and so are their rows
+            streamed = fmt == "json" and r["columns"] is not None and path in large
+            good.setdefault((fmt, header, streamed), []).append(path)
     good_paths = sorted(p for paths in good.values() for p in paths)
 
     logs, ledger_events, quarantined = [], [], []
@@ -289,7 +296,10 @@ def _insert(
 ) -> tuple[DataFrame, DataFrame]:
     """Validate and insert the rows of files; returns the tagged raw rows and the new ones."""
     parts = [
-        read_text_table(spark, paths, entity, fmt, header) for (fmt, header), paths in files.items()
+        read_large_arrays(spark, paths, entity)
+        if streamed
+        else read_text_table(spark, paths, entity, fmt, header)
+        for (fmt, header, streamed), paths in files.items()
     ]
 
     def all_tagged() -> DataFrame:
